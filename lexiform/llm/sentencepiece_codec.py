@@ -98,6 +98,7 @@ class Codec:
             self.surface.append(bytes([int(p.piece[3:5], 16)]) if byte else b"" if control else proto.trainer_spec.unk_surface.encode() if p.type == kinds.UNKNOWN else p.piece.replace(SPACE, " ").encode())
         self.normal_bytes = np.array([1 if b else 0 if c else len(p.piece.encode()) for p, b, c in zip(proto.pieces, self.raw, self.silent, strict=True)], np.int64)
         self.source_bytes = np.array([len(s) for s in self.surface], np.int64)
+        self.spoken = ~np.array(self.silent)
         user = any(p.type == kinds.USER_DEFINED for p in proto.pieces)
         inner = any(SPACE in p.piece.lstrip(SPACE) for p in proto.pieces)
         #: Units are independent, and those of an identity map need no normaliser of their own.
@@ -210,11 +211,13 @@ class Codec:
         The dummy prefix has no source bytes.
         """
         ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return np.zeros((0, 2), np.int64)
         if self.identity and not self.squeeze and SPACE not in text and not (ids == self.unk).any():
             lengths = self.source_bytes[ids].copy()
-            spoken = np.flatnonzero(~np.array(self.silent)[ids])
-            if len(spoken) and self.prefix:
-                lengths[spoken[0]] -= 1
+            first = int(self.spoken[ids].argmax())
+            if self.prefix and self.spoken[ids[first]]:
+                lengths[first] -= 1
             ends = np.cumsum(lengths)
             return np.stack([ends - lengths, ends], 1)
         _, source = self.normalise(text)

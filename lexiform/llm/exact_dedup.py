@@ -190,3 +190,14 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     index = live_index(rows, shards)
     best = index.select("digest", F.col("doc_id").alias("keep_id"), F.col("n").alias("group_size"))
     return rows.join(best, "digest").select("doc_id", "digest", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns: one of each group, also where rows repeat a doc_id."""
+    judged = scratch.save(deduplicate(docs), "judged")
+    kept = judged.filter("kept").select("doc_id", "digest")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), F.col("doc_id").cast("long").alias("join_id_"), F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)).alias("digest_"))
+    if kept.count() > judged.agg(F.count_distinct("digest").alias("n")).first()["n"]:
+        kept = kept.distinct()
+        rows = rows.groupBy("join_id_", "digest_").agg(F.first("row_").alias("row_"))
+    return rows.join(kept, (F.col("join_id_") == F.col("doc_id")) & (F.col("digest_") == F.col("digest")), "left_semi").select("row_.*")

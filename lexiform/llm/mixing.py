@@ -40,7 +40,7 @@ def exponent(totals: DataFrame, budget: int, entropy: float | None = None, repea
         return 1.0
     log_p = F.log(F.col("n") / F.lit(float(whole)))
 
-    def meets(points: list[float]) -> list[bool]:
+    def meets(points: list[float], seek_entropy: bool) -> list[bool]:
         grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("t")) for i, t in enumerate(points)])).alias("g")
         at = totals.select(log_p.alias("lp"), grid).select("lp", "g.i", "g.t").withColumn("w", F.exp(F.col("lp") * F.col("t")))
         rows = at.groupBy("i").agg(F.sum("w").alias("z"), F.sum(F.col("w") * F.col("t") * F.col("lp")).alias("e"), F.max(F.exp(F.col("lp") * (F.col("t") - 1))).alias("m")).collect()
@@ -50,14 +50,14 @@ def exponent(totals: DataFrame, budget: int, entropy: float | None = None, repea
         # true from the exponent on that is looked for
         return [x < entropy for x in h] if seek_entropy else [x <= repeats * (1 + 1e-12) for x in most]
 
-    def search() -> float:
+    def search(seek_entropy: bool) -> float:
         low, high = 0.0, 1.0
-        if meets([low])[0]:
+        if meets([low], seek_entropy)[0]:
             return low
         for _ in range(ROUNDS):
             n = 2**DEPTH
             points = [low + (high - low) * k / n for k in range(1, n)]
-            told = meets(points)
+            told = meets(points, seek_entropy)
             # the midpoints that DEPTH bisections ask for are among the points
             a, b = 0, n
             while b - a > 1:
@@ -68,11 +68,9 @@ def exponent(totals: DataFrame, budget: int, entropy: float | None = None, repea
 
     found = 0.0 if entropy is not None or repeats is not None else 1.0
     if entropy is not None:
-        seek_entropy = True
-        found = max(found, search())
+        found = max(found, search(True))
     if repeats is not None:
-        seek_entropy = False
-        found = max(found, search())
+        found = max(found, search(False))
     return found
 
 

@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiform.llm import exact_dedup, sentencepiece_codec, simhash
+from lexiform.llm import exact_dedup, kneser_ney, mixing, png_media, scratch, sentencepiece_codec, simhash, token_rollup
 
 #: Where the public vocabulary files are; a parameter of the deployment.
 TOKENIZERS = os.environ.get("LEXIFORM_TOKENIZERS", "/opt/tokenizers")
 PIECES = os.path.join(TOKENIZERS, "piece_bpe_32k.model")
+RANKS = os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,18 +25,49 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_documents(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens by source, language and tokenizer version, after all documents came in as one batch, twice."""
+    rollup = token_rollup.Rollup(spark, scratch.folder(spark, "rollup"), [PIECES, RANKS])
+    load = table(spark, sf_dir, "documents").withColumn("kind", F.lit("insert"))
+    rollup.apply(1, load)
+    rollup.apply(1, load)  # committed before: nothing happens
+    return rollup.totals()
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3, segments=2)
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each use of a document in a mix of as many tokens as there are, of nearly even entropy, no source over four times."""
+    return mixing.mix(table(spark, sf_dir, "documents"), budget_share=1.0, entropy_share=0.98, repeats=4.0)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document, and which row of it stays."""
     out = exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's payload as PNG in a binary column, read back."""
+    return png_media.read_media(png_media.with_media(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("hash", "error")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document by a model of trusted text, its language's threshold, and whether it stays."""
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _OP6_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -54,8 +86,13 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op3_token_counts": op3_token_counts,
         "op4_simhash": op4_simhash,
+        "op5_source_mixing": op5_source_mixing,
         "op6_exact_dedup": op6_exact_dedup,
+        "op9_png_media": op9_png_media,
+        "op10_quality_classifier": op10_quality_classifier,
+        "pipeline": pipeline,
     }
 
 

@@ -39,6 +39,13 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, deleted when the application ends."""
+    path = f"{root(spark)}/lexiform/{name}-{uuid.uuid4().hex}"
+    _LIVE.add(path)
+    return path
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables made by :func:`save` that no later plan reads."""
     for df in tables:

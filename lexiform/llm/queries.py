@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiform.llm import exact_dedup, kneser_ney, mixing, png_media, scratch, sentencepiece_codec, simhash, token_rollup
+from lexiform.llm import ctw, exact_dedup, kneser_ney, mixing, png_media, scratch, sentencepiece_codec, simhash, token_rollup, toxicity
 
 #: Where the public vocabulary files are; a parameter of the deployment.
 TOKENIZERS = os.environ.get("LEXIFORM_TOKENIZERS", "/opt/tokenizers")
@@ -25,6 +25,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_documents(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity of every document; 1 is predicted from 0.3 on."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.3)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and tokens by source, language and tokenizer version, after all documents came in as one batch, twice."""
     rollup = token_rollup.Rollup(spark, scratch.folder(spark, "rollup"), [PIECES, RANKS])
@@ -51,6 +56,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and context-tree scores of every document, learned from those not held out."""
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op9_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's payload as PNG in a binary column, read back."""
     return png_media.read_media(png_media.with_media(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("hash", "error")
@@ -86,10 +96,12 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_toxicity": op2_toxicity,
         "op3_token_counts": op3_token_counts,
         "op4_simhash": op4_simhash,
         "op5_source_mixing": op5_source_mixing,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_ctw": op7_ctw,
         "op9_png_media": op9_png_media,
         "op10_quality_classifier": op10_quality_classifier,
         "pipeline": pipeline,

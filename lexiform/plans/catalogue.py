@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexiform.plans import contract_queries, review_queries, text_queries
+
+PLANS = (text_queries, contract_queries, review_queries)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return contract_queries.contract_fields(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: f for m in PLANS for k, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for m in PLANS for k, s in m.SQL.items()}

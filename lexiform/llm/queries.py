@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiform.llm import ctw, exact_dedup, kneser_ney, mixing, png_media, scratch, sentencepiece_codec, simhash, token_rollup, toxicity
+from lexiform.llm import ctw, exact_dedup, kneser_ney, license_scan, mixing, png_media, scratch, sentencepiece_codec, simhash, token_rollup, toxicity
 
 #: Where the public vocabulary files are; a parameter of the deployment.
 TOKENIZERS = os.environ.get("LEXIFORM_TOKENIZERS", "/opt/tokenizers")
@@ -61,6 +61,12 @@ def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document as a file below its source and language, its own or inherited."""
+    files = license_scan.document_paths(table(spark, sf_dir, "documents"))
+    return license_scan.scan(files).withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
+
+
 def op9_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's payload as PNG in a binary column, read back."""
     return png_media.read_media(png_media.with_media(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("hash", "error")
@@ -102,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_source_mixing": op5_source_mixing,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_ctw": op7_ctw,
+        "op8_license_scan": op8_license_scan,
         "op9_png_media": op9_png_media,
         "op10_quality_classifier": op10_quality_classifier,
         "pipeline": pipeline,

@@ -6,8 +6,6 @@ stands; the best has the highest score, then confidence, then the smaller reason
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,19 +105,28 @@ def wide(found: DataFrame) -> DataFrame:
     return found.filter("accepted").groupBy("doc_id").pivot("field", fields).agg(F.first("value"))
 
 
+#: Field, code of its issue when it is missing.
+WANTED = [("effective_date", "MISSING_EFFECTIVE_DATE"), ("expiration_date", "MISSING_EXPIRATION_DATE"), ("governing_law", "MISSING_GOVERNING_LAW"), ("jurisdiction", "MISSING_JURISDICTION")]
+
+
 def issues(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, severity, reason_code, field, block_id: missing, rejected, anchor-only and low-confidence fields as rows."""
-    wanted = [("effective_date", "MISSING_EFFECTIVE_DATE"), ("expiration_date", "MISSING_EXPIRATION_DATE"), ("governing_law", "MISSING_GOVERNING_LAW"), ("jurisdiction", "MISSING_JURISDICTION")]
-    need = documents.select("doc_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(c).alias("reason_code")) for f, c in wanted])).alias("w")).select("doc_id", "w.*")
-    missing = need.join(found.filter("accepted").select("doc_id", "field"), ["doc_id", "field"], "left_anti").select("doc_id", F.lit("review").alias("severity"), "reason_code", "field", F.lit(None).cast("string").alias("block_id"))
-    row = lambda rows, severity, code: rows.select("doc_id", F.lit(severity).alias("severity"), code.alias("reason_code"), "field", "block_id")
-    parts = [
-        missing,
-        row(found.filter("anchor_only"), "review", F.lit("ANCHOR_ONLY_EFFECTIVE_DATE")),
-        row(found.filter("confidence < 0.65"), "review", F.lit("LOW_CONFIDENCE")),
-        row(found.filter("not accepted"), "recoverable", F.concat(F.lit("LOW_QUALITY_"), F.upper("field"))),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """doc_id, severity, reason_code, field, block_id: missing, rejected, anchor-only and low-confidence fields as rows.
+
+    ``found`` is read once: a document has few fields, so its issues are made from one array of them.
+    """
+    have = found.groupBy("doc_id").agg(F.collect_list(F.struct("field", "block_id", "confidence", "accepted", "anchor_only")).alias("f"))
+    rows = documents.select("doc_id").join(have, "doc_id", "left").withColumn("f", F.coalesce("f", F.expr("array()").cast(have.schema["f"].dataType)))
+    issue = lambda severity, code, field, block: F.struct(F.lit(severity).alias("severity"), code.alias("reason_code"), field.alias("field"), block.alias("block_id"))
+    f = F.col("f")
+    missing = [F.when(~F.exists(f, lambda x, n=name: x.accepted & (x.field == n)), issue("review", F.lit(code), F.lit(name), F.lit(None).cast("string"))) for name, code in WANTED]
+    of = lambda keep, severity, code: F.transform(F.filter(f, keep), lambda x: issue(severity, code(x), x.field, x.block_id))
+    made = F.concat(
+        F.filter(F.array(*missing), lambda x: x.isNotNull()),
+        of(lambda x: x.anchor_only, "review", lambda x: F.lit("ANCHOR_ONLY_EFFECTIVE_DATE")),
+        of(lambda x: x.confidence < 0.65, "review", lambda x: F.lit("LOW_CONFIDENCE")),
+        of(lambda x: ~x.accepted, "recoverable", lambda x: F.concat(F.lit("LOW_QUALITY_"), F.upper(x.field))),
+    )
+    return rows.select("doc_id", F.explode(made).alias("i")).select("doc_id", "i.*")
 
 
 def title(blocks: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ def _issues(spark: SparkSession, sf: str) -> DataFrame:
 def issue_union_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """Issues that came in twice, once each."""
     i = _issues(spark, sf)
-    return review.distinct_issues(i.unionByName(i.filter(F.col("doc_id") % 2 == 0))).groupBy("severity", "reason_code", "field").agg(F.count(F.lit(1)).alias("n"), F.count("block_id").alias("with_block"))
+    twice = i.withColumn("again", F.explode(F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("again")
+    return review.distinct_issues(twice).groupBy("severity", "reason_code", "field").agg(F.count(F.lit(1)).alias("n"), F.count("block_id").alias("with_block"))
 
 
 def _signals(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,11 +65,13 @@ def field_fill_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _verdicts(spark: SparkSession, sf: str) -> DataFrame:
-    wide = evaluate.fill_rate(fields.wide(_fields(spark, sf)), FILLED)
-    i = review.distinct_issues(_issues(spark, sf))
-    has = lambda p: F.count_if(F.col("reason_code").rlike(p))
-    counts = i.groupBy("doc_id").agg(has("^MISSING").alias("missing"), has("^MISSING_(GOVERNING_LAW|JURISDICTION)").alias("missing_law_court"), has("^ANCHOR_ONLY").alias("anchors"), has("^LOW_QUALITY").alias("low_quality"), F.count_if(F.col("severity") == "fatal").alias("criticals"))
-    rows = wide.join(counts, "doc_id", "left").na.fill(0, ["missing", "missing_law_court", "anchors", "low_quality", "criticals"])
+    """One pass over the fields: what is filled, what is wrong, and the verdict."""
+    f = _fields(spark, sf)
+    filled = F.count_if(F.col("accepted") & F.col("field").isin(FILLED))
+    got = lambda name: F.count_if(F.col("accepted") & (F.col("field") == name))
+    g = f.groupBy("doc_id").agg(filled.alias("filled"), *[got(n).alias(f"has_{n}") for n, _ in fields.WANTED], F.count_if("anchor_only").alias("anchors"), F.count_if(~F.col("accepted")).alias("low_quality"))
+    gone = lambda names: sum((F.when(F.col(f"has_{n}") > 0, 0).otherwise(1) for n in names), F.lit(0)).cast("long")
+    rows = g.withColumn("fill_rate", F.round(F.col("filled") / len(FILLED), 6)).withColumn("missing", gone([n for n, _ in fields.WANTED])).withColumn("missing_law_court", gone(["governing_law", "jurisdiction"])).withColumn("criticals", F.lit(0))
     return evaluate.passes(evaluate.quality_score(rows))
 
 

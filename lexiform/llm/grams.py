@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes that one array operation works on, at most.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def packed(data: np.ndarray, n: int) -> np.ndarray:
@@ -68,7 +68,7 @@ def counted(texts: Iterator[bytes], n: int, lead: bytes, hold: int) -> Iterator[
         if held >= CHUNK:
             take()
             batch, held = [], 0
-            if size >= 8 * CHUNK:
+            if size >= 16 * CHUNK:
                 keys, counts = fold(keys, counts)
                 pending, size = [], 0
                 if len(keys) >= hold:

@@ -143,7 +143,7 @@ def with_media(docs: DataFrame) -> DataFrame:
     docs = docs.drop(*[n for n in names if n in docs.columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in scratch.slices(batches, "text"):
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             made = [write_png(np.frombuffer(payload(t), np.uint8).reshape(-1, WIDTH)) for t in texts]
             sizes = [len((t or "").encode("utf-8", "replace")) for t in texts]

@@ -10,9 +10,15 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows in an Arrow batch where the session leaves Spark's default, and bytes of text that a worker takes up at once.
+BATCH_ROWS = 1000
+SLICE_BYTES = 2_000_000
 _LIVE: set[str] = set()
 _SHIPPED: set[str] = set()
 LOCAL_DEFAULT = "/tmp/checkpoints"
@@ -73,6 +79,9 @@ def _sweep() -> None:
 
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once for each application."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":  # texts are long: smaller batches hold memory down on both sides
+        spark.conf.set(rows, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -88,6 +97,18 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: int | str) -> Iterator[pa.RecordBatch]:
+    """The same rows in parts whose texts have SLICE_BYTES together, or one longer text."""
+    for b in batches:
+        column = b.column(b.schema.get_field_index(text) if isinstance(text, str) else text)
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())).to_numpy(zero_copy_only=False)
+        at, before = 0, 0
+        while at < b.num_rows:
+            upto = max(at + 1, int(ends.searchsorted(before + SLICE_BYTES, side="right")))
+            yield b.slice(at, upto - at)
+            at, before = upto, int(ends[upto - 1])
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions to use for explicit repartitioning."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -26,7 +26,7 @@ SPACE = "▁"
 #: Characters of texts that are segmented together.
 BATCH_CHARS = 2_000_000
 #: Units that each of two memos keeps at most; a full one becomes the older one, whose units come back when met again.
-MEMO_UNITS = 200_000
+MEMO_UNITS = 150_000
 #: Longer units are segmented without being kept.
 MEMO_UNIT_CHARS = 48
 
@@ -285,20 +285,20 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", with_
     ``docs`` with the same names. No shuffle; each batch is bounded by Spark's Arrow batch size.
     """
     scratch.ship(docs.sparkSession)
-    added = ["token_ids array<int>", "decoded string"] + (["span_start array<long>", "span_end array<long>"] if with_spans else [])
+    added = ["token_ids array<int>", "decoded string"] + (["span_start array<int>", "span_end array<int>"] if with_spans else [])
     names = [a.split()[0] for a in added]
     kept = docs.drop(*[n for n in names if n in docs.columns])
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_file)
-        for b in batches:
+        for b in scratch.slices(batches, text):
             texts = [t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()]
             ids = [np.frombuffer(x, "<u4") for x in c.encode_many(texts)]
             cols = [pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([c.decode(x.tolist()) for x in ids], pa.string())]
             if with_spans:
                 spans = [c.spans(t, x) for t, x in zip(texts, ids, strict=True)]
-                cols += [pa.array([s[:, 0] for s in spans], pa.list_(pa.int64())), pa.array([s[:, 1] for s in spans], pa.list_(pa.int64()))]
+                cols += [pa.array([s[:, 0].astype(np.int32) for s in spans], pa.list_(pa.int32())), pa.array([s[:, 1].astype(np.int32) for s in spans], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *names])
 
     return kept.mapInArrow(run, schema)
@@ -314,7 +314,7 @@ def digest_documents(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_file)
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        for b in batches:
+        for b in scratch.slices(batches, 1):
             texts = [t or "" for t in b.column(1).to_pylist()]
             rows = []
             for t, raw in zip(texts, c.encode_many(texts), strict=True):

@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     scratch.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in scratch.slices(batches, 1):
             fps = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
@@ -240,7 +240,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8)
     radius = _reach(similarity - SLACK)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in scratch.slices(batches, 1):
             made = [long_signature(t, words) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))], names=["doc_id", "sig", "keys"])
 

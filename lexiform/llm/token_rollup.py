@@ -49,7 +49,7 @@ def counted(docs: DataFrame, tokenizers: list[str]) -> DataFrame:
     scratch.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in scratch.slices(batches, 3):
             texts = [t or "" for t in b.column(3).to_pylist()]
             for path in tokenizers:
                 n = pa.array(count_tokens(path, texts), pa.int64())

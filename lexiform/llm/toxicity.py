@@ -53,7 +53,7 @@ def learn_lexicon(labelled: DataFrame, toxic: int, clean: int) -> dict[str, floa
     floor = max(MIN_TOXIC, int(MIN_SHARE * toxic))
 
     def terms_of(batches: Iterator[pa.RecordBatch], wanted: set[str] | None) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in scratch.slices(batches, 0):
             seen: Counter[str] = Counter()
             for t in b.column(0).to_pylist():
                 got = _terms(t or "")
@@ -246,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Extractor(lexicon)
-        for b in batches:
+        for b in scratch.slices(batches, 0):
             yield pa.RecordBatch.from_arrays([pa.array(list(extract.many(b.column(0).to_pylist())), pa.list_(pa.float64())), b.column(1), b.column(2)], names=["x", "toxic", "draw"])
 
     t = rows.select("text", F.col("toxic").cast("int").alias("toxic"), "draw").mapInArrow(run, "x array<double>, toxic int, draw long").orderBy("draw", "x").toArrow()
@@ -266,7 +266,7 @@ def score(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in scratch.slices(batches, 1):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.value.scores(b.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
 
     out = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, score double")

@@ -28,6 +28,8 @@ class CuckooIndex:
 
     def __init__(self, buckets: int = 64):
         self._start(1 << max(2, (buckets - 1).bit_length()))
+        #: Digests of which more share both buckets than fit: no size of the filter would part them.
+        self.stash: dict[bytes, list] = {}
         self.hits = self.verified = self.resizes = 0
 
     def _start(self, buckets: int) -> None:
@@ -57,7 +59,9 @@ class CuckooIndex:
 
     def get(self, digest: bytes):
         slot = self._find(digest)
-        return None if slot < 0 else self.stored[slot][1]
+        if slot < 0:
+            return self.stash[digest][1] if digest in self.stash else None
+        return self.stored[slot][1]
 
     def insert(self, digest: bytes, payload) -> bool:
         """Whether the digest is new. A live digest's payload is replaced."""
@@ -65,6 +69,9 @@ class CuckooIndex:
         if slot >= 0:
             self.stored[slot][1] = payload
             return False
+        if digest in self.stash:
+            self.stash[digest][1] = payload
+            return False
         self._place([digest, payload])
         return True
 
@@ -72,7 +79,7 @@ class CuckooIndex:
         """Whether the digest was live."""
         slot = self._find(digest)
         if slot < 0:
-            return False
+            return self.stash.pop(digest, None) is not None
         self.marks[slot], self.stored[slot] = 0, None
         self.size -= 1
         return True
@@ -95,7 +102,10 @@ class CuckooIndex:
         self._grow(entry)
 
     def _grow(self, homeless: list) -> None:
-        """Twice the buckets, filled again from the stored digests."""
+        """Twice the buckets, filled again from the stored digests; a filter that is nearly empty needs no more of them."""
+        if self.size * 4 < len(self.marks):
+            self.stash[homeless[0]] = homeless
+            return
         entries = [e for e in self.stored if e is not None]
         self._start(2 * (self.mask + 1))
         self.resizes += 1
@@ -104,7 +114,7 @@ class CuckooIndex:
         self._place(homeless)
 
     def items(self) -> Iterator[tuple[bytes, object]]:
-        return ((e[0], e[1]) for e in self.stored if e is not None)
+        return ((e[0], e[1]) for entries in (self.stored, self.stash.values()) for e in entries if e is not None)
 
 
 def normalised(text: Column) -> Column:

@@ -138,7 +138,8 @@ class Codec:
             if piece:
                 start = len(out)
                 out += piece.replace(b" ", mark)
-                source += [at] * (len(out) - start)
+                # what stays as it is aligns byte by byte, so that byte pieces have spans of their own
+                source += range(at, at + n) if piece == data[at : at + n] and b" " not in piece else [at] * (len(out) - start)
                 space = piece.endswith(b" ")
             else:
                 space = self.squeeze

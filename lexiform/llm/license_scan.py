@@ -22,7 +22,7 @@ from lexiform.llm import scratch
 
 THRESHOLD = 0.70
 #: A file whose similar sentences have so large a share of its terms is a licence file.
-FILE_SHARE = 0.5
+FILE_SHARE = 0.8
 FILE_NAME = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 #: Licence, sentence by which files say that they are under it.
 TEMPLATES = [

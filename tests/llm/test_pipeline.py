@@ -12,7 +12,7 @@ def test_stages(spark, tmp_path):
     rng = np.random.default_rng(12)
     texts = {i: prose(rng, 150) for i in range(120)}
     texts[200] = texts[5]
-    texts[201] = texts[6].replace(" ", "\n")
+    texts[201] = texts[6].replace(" ", "\n", 2)
     words = texts[7].split()
     words[70] = "swapped"
     texts[202] = " ".join(words)

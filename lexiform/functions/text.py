@@ -16,12 +16,15 @@ KANJI_TENS = {"十": 10, "百": 100, "千": 1000}
 NUMERAL = "0-9０-９一二三四五六七八九十百千〇零"
 
 
-@F.pandas_udf("string")
-def nfkc(s: pd.Series) -> pd.Series:
-    """NFKC, which the engine has no function for: applied once, when text comes in."""
+def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
+def nfkc(c: Column) -> Column:
+    """NFKC, which the engine has no function for: applied once, when text comes in."""
+    return F.pandas_udf(_nfkc, "string")(c)
+
+
 def normalize_digits(c: Column) -> Column:
     return F.translate(c, FULL_DIGITS, DIGITS)
 

@@ -118,7 +118,8 @@ def issues(documents: DataFrame, found: DataFrame) -> DataFrame:
     rows = documents.select("doc_id").join(have, "doc_id", "left").withColumn("f", F.coalesce("f", F.expr("array()").cast(have.schema["f"].dataType)))
     issue = lambda severity, code, field, block: F.struct(F.lit(severity).alias("severity"), code.alias("reason_code"), field.alias("field"), block.alias("block_id"))
     f = F.col("f")
-    missing = [F.when(~F.exists(f, lambda x, n=name: x.accepted & (x.field == n)), issue("review", F.lit(code), F.lit(name), F.lit(None).cast("string"))) for name, code in WANTED]
+    is_field = lambda name: lambda x: x.accepted & (x.field == name)
+    missing = [F.when(~F.exists(f, is_field(name)), issue("review", F.lit(code), F.lit(name), F.lit(None).cast("string"))) for name, code in WANTED]
     of = lambda keep, severity, code: F.transform(F.filter(f, keep), lambda x: issue(severity, code(x), x.field, x.block_id))
     made = F.concat(
         F.filter(F.array(*missing), lambda x: x.isNotNull()),

@@ -67,7 +67,7 @@ def pages(rows: DataFrame, engine: Callable[[str, bytes], Iterator[dict]]) -> Da
                     out += [{"path": path, "error": None} | r for r in engine(path, content)]
                 except Exception as e:
                     out.append({"path": path, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(out, columns=names)
+            yield pd.DataFrame(out, columns=names, dtype=object)
 
     return rows.select("path", "content").mapInPandas(run, PAGE)
 

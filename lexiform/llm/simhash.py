@@ -168,29 +168,42 @@ def hex_fingerprint(fp: Column) -> Column:
 
 # Near copies by similarity. At a Jaccard similarity of 0.8 of five-word shingles the 64-bit fingerprints differ in 10 bits
 # (median) and up to 18, far beyond what balls in segments can reach. So documents meet by bands of min-wise hashes of their
-# shingles, and the complete distance of long SimHash fingerprints decides.
+# shingles, long SimHash fingerprints drop what is clearly apart, and the shingle sets themselves decide.
 
 LANES = 16
-BANDS, ROWS = 8, 3
-#: The estimate's standard deviation at 0.8 is about 0.026; so much below the wanted similarity still counts.
-SLACK = 0.035
+#: A pair at 0.8 shares no band with probability (1 - 0.8^3)^20 = 6e-7.
+BANDS, ROWS = 20, 3
+#: Fingerprints only drop pairs whose estimate is so much below the wanted similarity: five standard deviations at least.
+SLACK = 0.15
+#: Shingles in one block of a shared band key, on average; more only in a block of one set.
+BLOCK_VALUES = 1 << 16
+#: Sets below this size are not judged by fingerprints, whose ties make the distances of small sets larger.
+SMALL = 64
 _LANE_FACTORS = np.random.default_rng(42).integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ROW_FACTORS = np.random.default_rng(43).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Hash of the one pseudo-shingle of a text without words.
 NOTHING = 0x6E6F7468696E6721
 
 
-def _mixed(h: np.ndarray, factor: np.uint64) -> np.ndarray:
+def _mixed(h: np.ndarray, factor: np.ndarray | np.uint64) -> np.ndarray:
     x = (h ^ (h >> np.uint64(32))) * factor
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
 
-def long_signature(text: str | None, words: int) -> tuple[bytes, list[int]]:
-    """(fingerprint of LANES x 64 bits over the set of shingles, a key for each band of min-wise hashes)."""
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct shingle hashes in order; a text without words has one pseudo-shingle."""
     h = np.unique(shingle_hashes(text or "", words))
-    if not len(h):
-        h = np.array([NOTHING], np.uint64)
+    return h if len(h) else np.array([NOTHING], np.uint64)
+
+
+def _set_key(h: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63)
+
+
+def long_signature(text: str | None, words: int) -> tuple[int, int, bytes, list[int]]:
+    """(key of the set of shingles, its size, fingerprint of LANES x 64 bits over it, a key for each band of min-wise hashes)."""
+    h = shingle_set(text, words)
     counts = np.zeros((LANES, BITS), np.int64)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(h), 4096):
@@ -199,10 +212,10 @@ def long_signature(text: str | None, words: int) -> tuple[bytes, list[int]]:
             bits = np.unpackbits(_mixed(part, f).view(np.uint8).reshape(-1, 8), axis=1)
             for k in range(0, len(bits), 255):  # sums of 255 bits fit in a byte
                 counts[i] += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
-        for i, f in enumerate(_ROW_FACTORS):
-            least[i] = min(least[i], _mixed(part, f).min())
+        for b in range(0, BANDS * ROWS, ROWS):
+            least[b : b + ROWS] = np.minimum(least[b : b + ROWS], _mixed(part, _ROW_FACTORS[b : b + ROWS, None]).min(1))
     keys = [xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) - (1 << 63) for b in range(BANDS)]
-    return np.packbits(2 * counts > len(h), axis=1).tobytes(), keys
+    return _set_key(h), len(h), np.packbits(2 * counts > len(h), axis=1).tobytes(), keys
 
 
 def _reach(similarity: float) -> int:
@@ -211,67 +224,116 @@ def _reach(similarity: float) -> int:
     return int(np.arccos(cosine) / np.pi * LANES * BITS)
 
 
-def _long_forest(ids: np.ndarray, sigs: np.ndarray, ids2: np.ndarray, sigs2: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    far = np.zeros((len(ids), len(ids2)), np.int32)
-    for w in range(sigs.shape[1]):
-        far += np.bitwise_count(sigs[:, None, w] ^ sigs2[None, :, w])
-    link = far <= radius
-    la, lb = ids.copy(), ids2.copy()
-    top = np.iinfo(np.int64).max
-    while True:
-        nb = np.minimum(lb, np.where(link, la[:, None], top).min(0))
-        na = np.minimum(la, np.where(link, nb[None, :], top).min(1))
-        if (nb == lb).all() and (na == la).all():
-            break
-        la, lb = na, nb
-    u, v = np.concatenate([ids, ids2]), np.concatenate([la, lb])
-    keep = u != v
-    return u[keep], v[keep]
+def _links_within(a: tuple, b: tuple, similarity: float) -> tuple[list[int], list[int]]:
+    """Links between two blocks' sets that join all whose Jaccard similarity is ``similarity`` or more, labels being joined.
+
+    A block is (keys, labels, set sizes, fingerprints, values of the sets, their ends). Sets that links or labels join already
+    are not compared; all others are, unless fingerprints or sizes are too far apart.
+    """
+    (ka, la, na, sa, ha, ea), (kb, lb, nb, sb, hb, eb) = a, b
+    far = np.zeros((len(ka), len(kb)), np.int32)
+    for w in range(sa.shape[1]):
+        far += np.bitwise_count(sa[:, None, w] ^ sb[None, :, w])
+    small, large = np.minimum(na[:, None], nb[None, :]), np.maximum(na[:, None], nb[None, :])
+    maybe = (small >= similarity * large) & ((far <= _reach(similarity - SLACK)) | (small < SMALL))
+    la, lb = la.copy(), lb.copy()
+    us, vs = [], []
+    for i in np.flatnonzero((maybe & (la[:, None] != lb[None, :])).any(1)).tolist():
+        js = np.flatnonzero(maybe[i] & (lb != la[i]))
+        if not len(js):
+            continue
+        mine = ha[ea[i] - na[i] : ea[i]]
+        theirs = np.concatenate([hb[eb[j] - nb[j] : eb[j]] for j in js.tolist()])
+        hit = mine[np.minimum(mine.searchsorted(theirs), len(mine) - 1)] == theirs
+        both = np.add.reduceat(hit, np.cumsum(nb[js]) - nb[js], dtype=np.int64)
+        js = js[both / (na[i] + nb[js] - both) >= similarity]
+        labels, at = np.unique(lb[js], return_index=True)
+        us += [int(ka[i])] * len(at)
+        vs += kb[js[at]].tolist()
+        la[np.isin(la, labels)] = la[i]
+        lb[np.isin(lb, labels)] = la[i]
+    return us, vs
+
+
+def _linked(nodes: DataFrame, sizes: DataFrame, sets: DataFrame, similarity: float, own: bool) -> DataFrame:
+    """Links (u, v) of the sets of ``nodes`` (node, label, band, key), found in blocks of the band keys in ``sizes``.
+
+    ``own`` looks into each block, otherwise the blocks of a band key meet one another.
+    """
+    # another deal in each band, so that the blocks of a crowd overlap
+    dealt = nodes.join(sizes, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks"))).select("node", "label", "band", "key", "block")
+    blocks = dealt.join(sets, "node").groupBy("band", "key", "block").agg(F.collect_list(F.struct("node", "label", "n", "sig", "h")).alias("m"))
+    if own:
+        meetings = blocks.filter("size(m) > 1").select(F.col("m").alias("a"))
+    else:
+        blocks = scratch.save(blocks, "blocks")
+        left = blocks.select("band", "key", F.col("block").alias("at"), F.col("m").alias("a"))
+        meetings = left.join(blocks.withColumnRenamed("m", "b"), ["band", "key"]).filter("at < block").select("a", "b")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def side(m: pa.StructArray) -> tuple:
+            node, label, n, sig, h = m.flatten()
+            node, label, n = (x.to_numpy(zero_copy_only=False) for x in (node, label, n))
+            return node, label, n, np.frombuffer(b"".join(sig.to_pylist()), np.uint64).reshape(-1, LANES), h.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(n)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a = side(batch.column(0)[i].values)
+                u, v = _links_within(a, a if own else side(batch.column(1)[i].values), similarity)
+                if u:
+                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    out = scratch.save(meetings.mapInArrow(meet, "u long, v long").distinct(), "links")
+    scratch.drop(blocks)
+    return out
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id (the smallest doc_id that links reach, itself included): a row for each doc_id.
 
-    Two documents are linked if the estimate of the Jaccard similarity of their shingle sets, from the complete distance of
-    their long fingerprints, is ``similarity`` or more (less SLACK), and a band brings them together (probability 0.997 at
-    0.8). Texts without words are alike. Null texts count as empty. Of rows that repeat a doc_id one counts.
+    Two documents are linked if the Jaccard similarity of their shingle sets (of 64-bit hashes) is ``similarity`` or more. Bands
+    bring a pair at 0.8 together with probability 1 - 6e-7; each pair that they bring is compared by its sets, unless
+    fingerprints or sizes are too far apart or links already join it. Texts without words are alike. Null texts count as empty.
+    Of rows that repeat a doc_id one counts.
     """
     scratch.ship(docs.sparkSession)
-    radius = _reach(similarity - SLACK)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in scratch.slices(batches, 1):
-            made = [long_signature(t, words) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))], names=["doc_id", "sig", "keys"])
+            node, n, sig, keys = zip(*[long_signature(t, words) for t in b.column(1).to_pylist()], strict=True)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "sig", "keys"])
 
-    signed = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(sign, "doc_id long, sig binary, keys array<long>")
+    signed = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(sign, "doc_id long, node long, n long, sig binary, keys array<long>")
     every = scratch.save(signed, "signatures")
-    # equal fingerprints are one node
-    nodes = scratch.save(every.groupBy("sig").agg(F.min("doc_id").alias("node"), F.min_by("keys", "doc_id").alias("keys")), "nodes")
-    rows = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    size = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    dealt = rows.join(size, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).drop("n")
-    blocks = scratch.save(dealt.join(nodes.select("node", "sig"), "node").groupBy("band", "key", "block").agg(F.collect_list(F.struct("node", "sig")).alias("m")), "blocks")
-    left = blocks.select("band", "key", F.col("block").alias("at"), F.col("m").alias("a"))
-    meetings = left.join(blocks.withColumnRenamed("m", "b"), ["band", "key"]).filter("at <= block").filter("at < block or size(a) > 1")
-    meetings = meetings.select(F.col("a.node").alias("an"), F.col("a.sig").alias("asig"), F.col("b.node").alias("bn"), F.col("b.sig").alias("bsig"))
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i in range(batch.num_rows):
-                an, asig, bn, bsig = (batch.column(k)[i].values for k in range(4))
-                side = lambda n, s: (n.to_numpy(zero_copy_only=False), np.frombuffer(b"".join(s.to_pylist()), np.uint64).reshape(-1, LANES))
-                u, v = _long_forest(*side(an, asig), *side(bn, bsig), radius)
-                us.append(u)
-                vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
-
-    edges = scratch.save(meetings.mapInArrow(meet, "u long, v long").distinct(), "links")
-    label = components(edges)
-    named = nodes.join(label, "node", "left").select("sig", F.coalesce("label", "node").alias("component_id"))
-    out = scratch.save(every.select("doc_id", "sig").join(named, "sig").groupBy("doc_id").agg(F.min("component_id").alias("component_id")), "similar")
-    scratch.drop(every, nodes, blocks, edges)
+    # equal sets are one node
+    nodes = scratch.save(every.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.min_by(c, "doc_id").alias(c) for c in ("n", "sig", "keys")]), "nodes")
+    rows = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
+    many = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("total"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).filter("many > 1")
+    # band keys of the same sets are one
+    once = many.groupBy("many", "total", "who").agg(F.min(F.struct("band", "key")).alias("k"))
+    sizes = scratch.save(once.select("k.band", "k.key", F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("total") / BLOCK_VALUES)).alias("blocks")), "crowds")
+    meeting = scratch.save(rows.join(sizes.select("band", "key"), ["band", "key"]).select("node", "band", "key"), "meeting")
+    wanted = nodes.join(meeting.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in scratch.slices(batches, 0):
+            made = [shingle_set(t, words) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_set_key(h) for h in made], pa.int64()), pa.array([len(h) for h in made], pa.int64()), pa.array([h.view(np.int64) for h in made], pa.list_(pa.int64()))], names=["node", "n", "h"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi").select("text")
+    made = texts.mapInArrow(make, "node long, n long, h array<long>")
+    sets = scratch.save(made.join(nodes.select("node", "sig"), "node"), "sets")
+    early = _linked(meeting.withColumn("label", F.col("node")), sizes, sets, similarity, own=True)
+    # blocks of a crowd meet where links do not join all of it yet
+    now = meeting.join(components(early), "node", "left").withColumn("label", F.coalesce("label", "node")).join(sizes.filter("blocks > 1").select("band", "key"), ["band", "key"])
+    mixed = now.groupBy("band", "key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("band", "key")
+    late = _linked(now, sizes.join(mixed, ["band", "key"]), sets, similarity, own=False)
+    label = components(early.unionByName(late))
+    named = nodes.select("node", "first").join(label, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
+    least = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    ids = named.join(least, "label").select("node", "component_id")
+    out = scratch.save(every.select("doc_id", "node").join(ids, "node").groupBy("doc_id").agg(F.min("component_id").alias("component_id")), "similar")
+    scratch.drop(every, nodes, sizes, meeting, sets, early, late)
     return out
 
 

@@ -224,6 +224,33 @@ def test_similar_documents(spark, empty):
     assert kept.count() == 42 and kept.columns == ["doc_id", "text", "gone"] and simhash.keep_one(empty).count() == 0
 
 
+def test_similar_documents_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rng = np.random.default_rng(21)
+    texts = {}
+    for i in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 10**9, int(rng.integers(40, 400)))]
+        texts[10 * i] = " ".join(words)
+        for j in (1, 2):  # 0.7 to 0.9 to the first
+            other, share = list(words), rng.uniform(0.05, 0.18)
+            for at in rng.choice(len(words) // 5, int(share * len(words) / 5) + 1, replace=False):
+                other[5 * at + 2] = "changed"
+            texts[10 * i + j] = " ".join(other)
+        texts[10 * i + 3] = " ".join(words[: int(len(words) * rng.uniform(0.7, 0.9))])
+    common = [f"c{x}" for x in range(200)]  # a crowd about the limit
+    for i in range(100):
+        texts[1000 + i] = " ".join(common + [f"c{i}x{x}" for x in range(int(rng.integers(15, 40)))])
+    few = "a b c d e f g h".split()  # four shingles of five, and of six
+    texts |= {2000: " ".join(few), 2001: " ".join([*few, "i"]), 2002: " ".join([*few, "i", "j"]), 2003: "z " + " ".join([*few, "i", "j"])}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in texts.items()}
+    jaccard = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    ids = sorted(sets)
+    near = [(i, j) for i in ids for j in ids if i < j and 0.7 <= jaccard(i, j) < 0.9]
+    assert sum(jaccard(*p) >= 0.8 for p in near) > 50 and sum(jaccard(*p) < 0.8 for p in near) > 50
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == classes(ids, lambda i, j: jaccard(i, j) >= 0.8)
+
+
 # 5
 
 

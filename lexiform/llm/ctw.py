@@ -1,16 +1,19 @@
 """Language-model scores by context-tree weighting over bytes.
 
-A byte is eight binary decisions, one for each inner node of the tree of byte values. Each decision has its own context tree
-over the bytes before it; Krichevsky-Trofimov estimates of all depths are mixed with the weights that the training text gives
-them. Counting is the same for all orders: distinct windows of ``DEPTH + 1`` bytes with their counts, summed over the corpus.
-
-The tree has every context of up to ``DEPTH`` bytes that makes up at least ``FLOOR`` of the training bytes; rarer ones share
-one leaf beside their siblings. So the model has at most ``DEPTH / FLOOR`` contexts at every size of the corpus, and scoring
-walks it where the text lies. The scored form of a text is that of its tokens: A-Z in lower case, words with single blanks
-between them, and an end.
-
-The word counts that the base score needs grow with the corpus. Words of at least ``HEAVY`` of the tokens (a bounded number)
-are looked up in place; the others meet their counts in a join by word, where no key can be hot.
+The scored form of a text is that of its tokens: A-Z in lower case, words with single blanks between them, and an end. The
+tree holds every context of up to ``DEPTH`` bytes that the training texts have, however rare, so it grows with the corpus and
+no machine holds all of it:
+
+1. Map tasks take up chunks of texts and write, for each chunk, its distinct windows of ``DEPTH + 1`` bytes with their training
+   counts and its distinct words with theirs, dealt into shards by the three latest context bytes (words: by hash).
+2. Each shard adds up the counts of its windows. Whole subtrees lie in one shard, so it can weight them. What the two upper
+   depths need, sums by context of two bytes and decision, is a bounded table (65,536 x 511 numbers at most, a few thousand
+   contexts in text) that the driver works on and broadcasts.
+3. Each shard takes in the chunks' windows again and answers with their log probabilities and word counts.
+4. Each chunk meets its answers and scores its texts.
+
+What moves are sorted integers as compressed differences, about a third of the text's size, and the text once. A chunk takes
+up CHUNK_BYTES of text (or one longer text), a shard the distinct windows below its three-byte contexts.
 """
 
 from __future__ import annotations
@@ -21,23 +24,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiform.llm import grams, scratch
+from lexiform.llm.context_tree import Subtree, merged
 
 DEPTH = 6
-FLOOR = 2.0**-15
-HEAVY = 2.0**-21
+#: Contexts of fewer bytes than this are weighted on the driver.
+TOP = 3
 END = b"\n"
 LEAD = END * DEPTH
-#: Distinct words and windows that a map task holds before it hands them on.
-HELD = 600_000
-#: Decisions of the byte tree that the model is built for together.
-DECISIONS = 16
-#: Bytes of texts scored together.
-BATCH_BYTES = 1 << 21
+CHUNK_BYTES = 32_000_000
+#: Windows that wait to be added up.
+PENDING = 4_000_000
+WINDOWS, WORDS, TEXT = 0, 1, 2
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -45,288 +49,310 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def held_out() -> Column:
-    return (F.crc32(F.col("doc_id").cast("string")) % 7) == 2
+    """Null ids count as empty text here."""
+    return (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7) == 2
 
 
-def _word_key(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
+def _word_keys(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
 
 
-def _longs(x: list[int]) -> np.ndarray:
-    return np.array(x, np.uint64).view(np.int64)
+def windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows, number of the text) of every byte of the texts, in pieces of bounded size."""
+    for data, owner, lead in grams.streams(texts, LEAD):
+        n = len(data) - lead
+        keys = np.zeros(n, np.uint64)
+        for back in range(1, DEPTH + 1):
+            keys <<= np.uint64(8)
+            keys |= data[lead - back : lead - back + n]
+        keys <<= np.uint64(8)
+        keys |= data[lead:]
+        own = owner[lead:]
+        keep = own >= 0
+        yield keys[keep], own[keep]
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, c) over the training rows: kind 0, windows of DEPTH + 1 bytes; kind 1, words by their XXH64, and the end."""
+def pack(x: np.ndarray, ordered: bool = False) -> bytes:
+    """Numbers as compressed byte planes, of their differences if they are in order."""
+    x = np.ascontiguousarray(np.diff(x, prepend=x.dtype.type(0)) if ordered and len(x) else x)
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() if len(x) else b"", 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[bytes] = Counter()
 
-        def out(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(keys), 200_000):
-                k = keys[at : at + 200_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[at : at + 200_000])], names=["kind", "key", "c"])
+def unpack(b: bytes, kind: type, ordered: bool = False) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    x = np.ascontiguousarray(np.frombuffer(zstandard.decompress(b), np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if ordered else x
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            yield from out(1, _longs([_word_key(w) for w in words]), np.fromiter(words.values(), np.int64, len(words)))
-            words.clear()
 
-        full: list[pa.RecordBatch] = []
+class _Sums:
+    """Distinct keys with counts, added up whenever many wait."""
 
-        def texts() -> Iterator[bytes]:
-            for b in scratch.slices(batches, 0):
-                for t in b.column(0).to_pylist():
-                    ws = words_of(t)
-                    words.update(ws)
-                    words[END] += 1
-                    if len(words) > HELD:
-                        full.extend(flush())
-                    yield b" ".join(ws) + END
-
-        for keys, n in grams.counted(texts(), DEPTH + 1, LEAD, HELD):
-            yield from out(0, keys.view(np.int64), n)
-            yield from full
-            full.clear()
-        yield from full
-        yield from flush()
-
-    return docs.filter(~held_out()).select("text").mapInArrow(run, "kind tinyint, key long, c long").groupBy("kind", "key").agg(F.sum("c").alias("c"))
-
-
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """For x >= 0.5: shifted up by 8, then Stirling's series."""
-    shift = np.zeros_like(x)
-    for k in range(8):
-        shift += np.log(x + k)
-    z = x + 8
-    return (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - shift
-
-
-def _kt(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(logarithm of the block probability, probability that the next decision is one)."""
-    block = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1)
-    return block, (ones + 0.5) / (zeros + ones + 1)
-
-
-class _Tree:
-    """Which contexts lie under which, and how states are numbered: inner ones first, then leaves."""
-
-    def __init__(self, contexts: list[np.ndarray]):
-        self.depth = len(contexts) - 1
-        self.parent = [np.zeros(0, np.int64)] + [np.searchsorted(contexts[d - 1], contexts[d] & np.uint64((1 << 8 * (d - 1)) - 1)) for d in range(1, self.depth + 1)]
-        self.inner = [np.zeros(len(c), bool) for c in contexts]
-        for d in range(1, self.depth + 1):
-            self.inner[d - 1][self.parent[d]] = True
-        self.states = int(sum(i.sum() for i in self.inner))
-        self.step = np.zeros((max(self.states, 1), 256), np.int32)
-        self.leaf_rows: list[np.ndarray] = []  # of each depth: own leaves, then the shared ones of inner contexts
-        state, leaf = 0, self.states
-        state_of: list[np.ndarray] = []
-        for d, ctx in enumerate(contexts):
-            ins, alone = np.flatnonzero(self.inner[d]), np.flatnonzero(~self.inner[d])
-            number = np.empty(len(ctx), np.int64)
-            number[ins] = state + np.arange(len(ins))
-            number[alone] = leaf + np.arange(len(alone))
-            self.step[number[ins]] = (leaf + len(alone) + np.arange(len(ins)))[:, None]
-            if d:
-                self.step[state_of[d - 1][self.parent[d]], (ctx >> np.uint64(8 * (d - 1))).astype(np.int64) & 255] = number
-            state, leaf = state + len(ins), leaf + len(ctx)
-            state_of.append(number)
-        self.leaves = leaf - self.states
-
-
-def _mixed(tree: _Tree, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Probabilities of one for each leaf, from (zeros, ones) of some decisions at the contexts of each depth."""
-    depth = tree.depth
-    estimate, posterior, seen, shared = ([None] * (depth + 1) for _ in range(4))
-    below = None
-    for d in range(depth, -1, -1):
-        zeros, ones = counts[d]
-        block, estimate[d] = _kt(zeros, ones)
-        seen[d] = zeros + ones > 0
-        inner = tree.inner[d]
-        weighted, posterior[d] = block, np.ones_like(block)
-        if inner.any():
-            split, rest0, rest1 = np.zeros_like(block), zeros.copy(), ones.copy()
-            up = tree.parent[d + 1]
-            np.add.at(split, up, below)
-            np.subtract.at(rest0, up, counts[d + 1][0])
-            np.subtract.at(rest1, up, counts[d + 1][1])
-            rest_block, rest_estimate = _kt(rest0[inner], rest1[inner])
-            shared[d] = (rest_estimate, rest0[inner] + rest1[inner] > 0)
-            weighted = block.copy()
-            weighted[inner] = np.logaddexp(block[inner], split[inner] + rest_block) - np.log(2)
-            posterior[d][inner] = np.exp(block[inner] - np.log(2) - weighted[inner])
-        below = weighted
-    out = []
-    told, mass, fall = (np.full((1, counts[0][0].shape[1]), x) for x in (0.0, 1.0, 0.5))
-    for d in range(depth + 1):
-        inner = tree.inner[d]
-        here = np.where(seen[d], estimate[d], fall)
-        out.append((told + mass * here)[~inner])
-        told = told + np.where(seen[d], mass * posterior[d] * estimate[d], 0)
-        mass = np.where(seen[d], mass * (1 - posterior[d]), mass)
-        if inner.any():
-            rest_estimate, rest_seen = shared[d]
-            out.append(told[inner] + mass[inner] * np.where(rest_seen, rest_estimate, here[inner]))
-        if d < depth:
-            up = tree.parent[d + 1]
-            told, mass, fall = told[up], mass[up], here[up]
-    return np.concatenate(out)
-
-
-def build(contexts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """(step, logs) from the contexts of each depth, 0 first: packed contexts in order, and their byte counts (rows x 256).
-
-    ``step[state, byte]`` leads from an inner context to the longer one with that older byte; numbers beyond the rows of
-    ``step`` are leaves, whose logarithms of byte probabilities stand in ``logs``. Decisions are worked on a few at a time.
-    """
-    tree = _Tree([c for c, _ in contexts])
-    logs = np.zeros((tree.leaves, 256), np.float32)
-    for level in range(8):
-        span = 256 >> level
-        for first in range(0, 1 << level, DECISIONS):
-            last = min(first + DECISIONS, 1 << level)
-            halves = [n[:, first * span : last * span].reshape(len(n), last - first, 2, span // 2).sum(3, dtype=np.float64) for _, n in contexts]
-            p = _mixed(tree, [(h[:, :, 0], h[:, :, 1]) for h in halves])
-            logs[:, first * span : last * span] += np.log(np.stack([1 - p, p], 2)).astype(np.float32).repeat(span // 2, 2).reshape(tree.leaves, -1)
-    return tree.step, logs
-
-
-class Model:
-    """``step`` and ``logs`` of :func:`build`, and the heavy words' counts."""
-
-    def __init__(self, step: np.ndarray, logs: np.ndarray, keys: np.ndarray, c: np.ndarray):
-        self.step, self.logs = step.ravel(), logs.ravel()
-        self.states = len(step) if step.any() else 0
-        self.heavy = grams.GramTable(keys.view(np.uint64), np.arange(len(keys), dtype=np.float32))
-        self.heavy_logs = np.log10(c + 1.0)
-        # the first two context bytes in one step
-        one = self._walk(np.zeros(65536, np.int64), np.arange(65536) & 255)
-        self.two = self._walk(one, np.arange(65536) >> 8).astype(np.int32)
-
-    def _walk(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        return np.where(state < self.states, self.step[np.minimum(state, self.states - 1) * 256 + byte], state)
-
-    def log10(self, texts: list[bytes]) -> np.ndarray:
-        """Logarithm of the probability of each text, which ends with its end byte."""
-        total = np.zeros(len(texts))
-        for data, owner, lead in grams.streams(texts, LEAD):
-            own, wide = owner[lead:], data.astype(np.int32)
-            at = lambda k: wide[lead - k : len(wide) - k]  # noqa: E731  k bytes back
-            state = self.two[at(1) | at(2) << 8]
-            for k in range(3, DEPTH + 1):
-                state = self._walk(state, at(k))
-            # an empty model has the root alone
-            logs = self.logs[(state.astype(np.int64) - self.states) * 256 + at(0)]
-            keep = own >= 0
-            total += np.bincount(own[keep], logs[keep].astype(np.float64), len(texts))
-        return total / np.log(10)
-
-
-def fit(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The context tree from :func:`counts`: bounded parts of the sums come to the driver."""
-    windows = table.filter("kind = 0")
-    whole = windows.agg(F.sum("c").alias("n")).first()["n"] or 0
-    mask = lambda n: F.lit((1 << 8 * n) - 1).cast("long")
-    levels = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col("key").bitwiseAND(mask(d + 1)).alias("k")) for d in range(DEPTH + 1)])).alias("s")
-    pairs = scratch.save(windows.select("c", levels).groupBy("s.d", "s.k").agg(F.sum("c").alias("c")).select("d", F.shiftrightunsigned("k", 8).alias("ctx"), F.col("k").bitwiseAND(mask(1)).cast("int").alias("byte"), "c"), "ctw-pairs")
-    kept = pairs.groupBy("d", "ctx").agg(F.sum("c").alias("n")).filter(F.col("n") >= max(FLOOR * whole, 2.0)).select("d", "ctx")
-    # at most DEPTH / FLOOR rows
-    rows = pairs.join(F.broadcast(kept), ["d", "ctx"], "left_semi").toArrow()
-    scratch.drop(pairs)
-    d, ctx, byte, c = (rows.column(k).to_numpy() for k in ("d", "ctx", "byte", "c"))
-    contexts = []
-    for depth in range(DEPTH + 1):
-        at = d == depth
-        own, row = np.unique(ctx[at].view(np.uint64), return_inverse=True)
-        if depth == 0 and not len(own):
-            own = np.zeros(1, np.uint64)
-        n = np.zeros((len(own), 256))
-        np.add.at(n, (row, byte[at]), c[at])
-        contexts.append((own, n))
-    return build(contexts)
-
-
-def _model(shared) -> Model:
-    if not hasattr(shared, "built"):
-        shared.built = Model(*shared.value)
-    return shared.built
-
-
-_SCORED = "kind tinyint, row long, id long, n long, known long, base double, lm double"
-
-
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row of ``docs``.
-
-    ``score``: log10 of the probability of the token form of the text. Null texts count as empty: one end. Other columns are not
-    looked at. Without training rows every byte has probability 1/256 and every token the base probability 1.
-    """
-    scratch.ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    table = scratch.save(counts(rows), "lm-counts")
-    words = table.filter("kind = 1").select("key", "c")
-    sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n, v = int(sums["n"] or 0), int(sums["v"])
-    heavy = F.col("c") >= max(1.0, HEAVY * n)
-    often = words.filter(heavy).toArrow()  # at most 1 / HEAVY rows
-    step, logs = fit(table)
-    shared = docs.sparkSession.sparkContext.broadcast([step, logs, often.column("key").to_numpy(), often.column("c").to_numpy()])
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = self.held = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > max(PENDING, self.held):
+            self.parts = [self.whole()]
+            self.held, self.waiting = len(self.parts[0][0]), 0
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) == 1:
+            return self.parts[0]
+        if not self.parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return merged(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
+
+
+def _distinct(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    x = np.concatenate(pieces)
+    x.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(1, bool), x[1:] != x[:-1]]))
+    return x[first], np.diff(np.append(first, len(x)))
+
+
+def _shards(keys: np.ndarray, kind: int, shards: int) -> np.ndarray:
+    part = keys >> np.uint64(8 * (DEPTH + 1 - TOP)) if kind == WINDOWS else keys
+    return ((part * _MIX >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+
+
+_CHUNKS = "chunk long, shard int, kind tinyint, keys binary, vals binary"
+
+
+def _rows(schema: list[str], rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"chunk": pa.int64(), "shard": pa.int32(), "kind": pa.int8(), "total": pa.int64(), "many": pa.int64()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for n, c in zip(schema, zip(*rows, strict=True), strict=True)], names=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, at = _model(shared), TaskContext.get().partitionId() << 40
-
-        def score_part(ids: list[int], texts: list[list[bytes]], at: int) -> Iterator[pa.RecordBatch]:
-            sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-            keys = np.fromiter((_word_key(w) for t in texts for w in (*t, END)), np.uint64, int(sizes.sum()))
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            found, index = model.heavy.get(keys)
-            index = index[found].astype(np.int64)
-            base = np.bincount(owner[found], model.heavy_logs[index], len(texts))
-            known = np.bincount(owner[found], minlength=len(texts))
-            joined = [b" ".join(t) + END for t in texts]
-            lm = model.log10(joined)
-            k = len(texts)
-            row = at + np.arange(k)
-            batch = lambda *c: pa.RecordBatch.from_arrays([pa.array(x) for x in c], names=["kind", "row", "id", "n", "known", "base", "lm"])
-            yield batch(np.zeros(k, np.int8), row, np.array(ids, np.int64), sizes, known.astype(np.int64), base, lm)
-            light, who = keys[~found], owner[~found]
-            order = np.lexsort((light, who))
-            light, who = light[order], who[order]
-            new = np.ones(len(light), bool)
-            new[1:] = (light[1:] != light[:-1]) | (who[1:] != who[:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(light)))
-            z = np.zeros(len(first))
-            yield batch(np.ones(len(first), np.int8), row[who[first]], light[first].view(np.int64), times.astype(np.int64), z.astype(np.int64), z, z)
 
+def chunks(docs: DataFrame, shards: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Step 1. ``vals`` are counts; in rows of kind TEXT, ``keys`` is the text and ``vals`` the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        names = ["chunk", "shard", "kind", "keys", "vals"]
+
+        def out(forms: list[bytes], learn: list[bool], ids: list[int | None], words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+            sums = _Sums()
+            for wanted in (True, False):
+                waiting: list[np.ndarray] = []
+                texts = [f for f, w in zip(forms, learn, strict=True) if w == wanted]
+                for keys, _ in windows(texts) if texts else ():
+                    waiting.append(keys)
+                    if len(waiting) >= 8:
+                        k, c = _distinct(waiting)
+                        sums.add(k, c * wanted)
+                        waiting = []
+                if waiting:
+                    k, c = _distinct(waiting)
+                    sums.add(k, c * wanted)
+            known = list(words)
+            at = _word_keys(known)
+            order = np.argsort(at)
+            for kind, keys, counts in ((WINDOWS, *sums.whole()), (WORDS, at[order], np.fromiter(words.values(), np.int64, len(words))[order])):
+                where = _shards(keys, kind, shards)
+                by = np.argsort(where, kind="stable")
+                keys, counts = keys[by], counts[by]
+                cuts = np.searchsorted(where[by], np.arange(shards + 1))
+                for s in np.flatnonzero(np.diff(cuts)):
+                    part = slice(cuts[s], cuts[s + 1])
+                    yield _rows(names, [(number, int(s), kind, pack(keys[part], True), pack(counts[part].astype(np.uint64)))])
+            numbers = np.array([i or 0 for i in ids], np.int64).tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
+            yield _rows(names, [(number, 0, TEXT, zstandard.compress(b"".join(forms), 3), numbers)])
+
+        forms, learn, ids, held = [], [], [], 0
+        words: dict[bytes, int] = Counter()
         for b in scratch.slices(batches, 1):
-            ids, texts, held = [], [], 0
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for i, t, h in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                ws = [*words_of(t), END]
+                if h:
+                    for w in ws:
+                        words.setdefault(w, 0)
+                else:
+                    words.update(ws)
+                forms.append(b" ".join(ws[:-1]) + END)
+                learn.append(not h)
                 ids.append(i)
-                texts.append(words_of(t))
-                held += len(t or "")
-                if held >= BATCH_BYTES:
-                    yield from score_part(ids, texts, at)
-                    at += len(ids)
-                    ids, texts, held = [], [], 0
-            if ids:
-                yield from score_part(ids, texts, at)
-                at += len(ids)
-
-    made = scratch.save(rows.mapInArrow(run, _SCORED), "lm-scored")
-    rare = words.filter(~heavy)
-    light = made.filter("kind = 1").select("row", F.col("id").alias("key"), F.col("n").alias("times")).join(rare, "key")
-    extra = light.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("gain"))
-    out = made.filter("kind = 0").join(extra, "row", "left")
-    doc_id = F.col("id").alias("doc_id")
+                held += len(forms[-1])
+                if held >= chunk_bytes:
+                    yield from out(forms, learn, ids, words)
+                    forms, learn, ids, held = [], [], [], 0
+                    words = Counter()
+                    number += 1
+        if forms:
+            yield from out(forms, learn, ids, words)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out")).mapInArrow(run, _CHUNKS)
+
+
+_MERGED = "shard int, kind tinyint, keys binary, vals binary, total long, many long, roots binary, weights binary, pairs binary, counts binary"
+
+
+def merge(parts: DataFrame, shards: int) -> DataFrame:
+    """Step 2: sums of a shard, and of its windows what the upper depths need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], _Sums] = {}
+        for b in batches:
+            for s, kind, k, c in zip(*(b.column(n).to_pylist() for n in ("shard", "kind", "keys", "vals")), strict=True):
+                sums.setdefault((s, kind), _Sums()).add(unpack(k, np.uint64, True), unpack(c, np.uint64).astype(np.int64))
+        for (s, kind), of in sums.items():
+            keys, counts = of.whole()
+            upper = [b""] * 4
+            if kind == WINDOWS:
+                tree = Subtree(keys, counts, TOP, DEPTH)
+                names, weights = tree.roots()
+                short = tree.keys[TOP]
+                pairs, n = merged((short >> np.uint64(16) << np.uint64(8)) | (short & np.uint64(255)), tree.counts[TOP])
+                upper = [pack(names, True), weights.tobytes(), pack(pairs, True), pack(n.astype(np.uint64))]
+            yield _rows([n.split()[0] for n in _MERGED.split(", ")], [(s, kind, pack(keys, True), pack(counts.astype(np.uint64)), int(counts.sum()), int((counts > 0).sum()), *upper)])
+
+    return parts.filter(F.col("kind") < TEXT).select("shard", "kind", "keys", "vals").repartitionById(shards, "shard").mapInArrow(run, _MERGED)
+
+
+def upper(sums: DataFrame) -> tuple[np.ndarray, ...] | None:
+    """The states that the contexts of two bytes hand down: a bounded table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for names, weights, pairs, counts in zip(*(b.column(n).to_pylist() for n in ("roots", "weights", "pairs", "counts")), strict=True):
+                for kind, k, v in ((0, unpack(names, np.uint64, True), np.frombuffer(weights)), (1, unpack(pairs, np.uint64, True), unpack(counts, np.uint64).astype(np.float64))):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k.view(np.int64)), pa.array(v)], names=["kind", "name", "v"])
+
+    rows = sums.filter(F.col("kind") == WINDOWS).select("roots", "weights", "pairs", "counts").mapInArrow(run, "kind tinyint, name long, v double")
+    got = rows.groupBy("kind", "name").agg(F.sum("v").alias("v")).toArrow()
+    kind, name, v = (got.column(n).to_numpy() for n in ("kind", "name", "v"))
+    if not len(name):
+        return None
+    order = np.argsort(name)
+    kind, name, v = kind[order], name[order].view(np.uint64), v[order]
+    tree = Subtree(name[kind == 1], np.rint(v[kind == 1]).astype(np.int64), 0, TOP - 1)
+    return tree.states((name[kind == 0], v[kind == 0]))
+
+
+def answers(parts: DataFrame, sums: DataFrame, states: tuple[np.ndarray, ...] | None, shards: int) -> DataFrame:
+    """Step 3: for a chunk's keys in a shard, log probabilities (windows) or counts (words)."""
+    shared = parts.sparkSession.sparkContext.broadcast(states)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            for first, chunk, s, kind, k, v in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+                keys = unpack(k, np.uint64, True)
+                if first == 0:
+                    counts = unpack(v, np.uint64).astype(np.int64)
+                    tables[s, kind] = keys, (Subtree(keys, counts, TOP, DEPTH).logs(shared.value) if kind == WINDOWS else counts.astype(np.float64)).astype(np.float32 if kind == WINDOWS else np.float64)
+                else:
+                    at, vals = tables[s, kind]
+                    yield _rows(["chunk", "shard", "kind", "keys", "vals"], [(chunk, s, kind, k, pack(vals[np.searchsorted(at, keys)]))])
+
+    old = parts.filter(F.col("kind") < TEXT).select(F.lit(1).alias("first"), "chunk", "shard", "kind", "keys", F.lit(None).cast("binary").alias("vals"))
+    new = sums.select(F.lit(0).alias("first"), F.lit(-1).cast("long").alias("chunk"), "shard", "kind", "keys", "vals")
+    return new.union(old).repartitionById(shards, "shard").sortWithinPartitions("first").mapInArrow(run, _CHUNKS)
+
+
+class Lookup:
+    """Values of keys that are all known, by hashing; keys that meet in a slot are looked up in the next table."""
+
+    def __init__(self, keys: np.ndarray, vals: np.ndarray):
+        self.tables = []
+        for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9):
+            bits = max(4, int(6 * len(keys)).bit_length())
+            factor, shift = np.uint64(factor), np.uint64(64 - bits)
+            slot = (keys * factor >> shift).astype(np.int64)
+            alone = np.bincount(slot, minlength=1 << bits)[slot] == 1
+            table = np.full(1 << bits, np.nan, np.float32)
+            table[slot[alone]] = vals[alone]
+            self.tables.append((factor, shift, table))
+            keys, vals = keys[~alone], vals[~alone]
+        order = np.argsort(keys)
+        self.keys, self.vals = keys[order], vals[order]
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        factor, shift, table = self.tables[0]
+        out = table[keys * factor >> shift]
+        left = np.flatnonzero(np.isnan(out))
+        for factor, shift, table in self.tables[1:]:
+            out[left] = table[keys[left] * factor >> shift]
+            left = left[np.isnan(out[left])]
+        if len(left):
+            out[left] = self.vals[np.searchsorted(self.keys, keys[left])]
+        return out
+
+
+_SCORED = "id long, n long, known long, n_bytes long, base double, lm double"
+
+
+def scored(parts: DataFrame, answered: DataFrame) -> DataFrame:
+    """Step 4. ``base``: sum of log10(c + 1)."""
+
+    def texts(text: bytes, ids: bytes, found: dict[int, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        forms = [f + END for f in zstandard.decompress(text).split(END)[:-1]]
+        n = len(forms)
+        numbers, null = np.frombuffer(ids[: 8 * n], np.int64), np.frombuffer(ids[8 * n :], np.uint8) > 0
+        logs = Lookup(*(np.concatenate(x) for x in zip(*found[WINDOWS], strict=True)))
+        lm = np.zeros(n)
+        for keys, own in windows(forms):
+            first = int(own[0])
+            sums = np.bincount(own - first, logs(keys).astype(np.float64))
+            lm[first : first + len(sums)] += sums
+        del logs
+        keys, vals = (np.concatenate(x) for x in zip(*found[WORDS], strict=True))
+        order = np.argsort(keys)
+        keys, vals = keys[order], np.log10(vals[order] + 1.0)
+        distinct: set[bytes] = {END}
+        for f in forms:
+            distinct.update(f.split())
+        distinct_list = list(distinct)
+        gain = dict(zip(distinct_list, vals[np.searchsorted(keys, _word_keys(distinct_list))].tolist(), strict=True))
+        size, known, base = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+        for i, f in enumerate(forms):
+            got = [gain[w] for w in f.split()]
+            got.append(gain[END])
+            size[i], known[i], base[i] = len(got), len(got) - got.count(0.0), sum(got)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers, mask=null), *(pa.array(x) for x in (size, known, np.fromiter(map(len, forms), np.int64, n), base, lm / np.log(10)))],
+            names=["id", "n", "known", "n_bytes", "base", "lm"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {WINDOWS: [], WORDS: []}
+        for b in batches:
+            for kind, k, v in zip(*(b.column(n) for n in ("kind", "keys", "vals")), strict=True):
+                kind, k, v = kind.as_py(), k.as_py(), v.as_py()
+                if kind == TEXT:
+                    yield from texts(k, v, found)
+                    found = {WINDOWS: [], WORDS: []}
+                else:
+                    found[kind].append((unpack(k, np.uint64, True), unpack(v, np.float32 if kind == WINDOWS else np.float64)))
+
+    both = answered.union(parts.filter(F.col("kind") == TEXT))
+    return both.repartition(scratch.partitions(parts), "chunk").sortWithinPartitions("chunk", "kind").select("kind", "keys", "vals").mapInArrow(run, _SCORED)
+
+
+def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte: a row for each row of ``docs``.
+
+    ``score``: log10 of the probability of the token form of the text; ``bits_per_byte``: its code length by bytes of that form,
+    end included. Null texts count as empty: one end. Null ids count as empty text where rows are told apart, and stay null.
+    Repeated rows are learned from and scored each time. Other columns are not looked at. Without training rows every byte has
+    probability 1/256 and every token the base probability 1.
+    """
+    scratch.ship(docs.sparkSession)
+    shards = scratch.partitions(docs)
+    parts = scratch.save(chunks(docs, shards, chunk_bytes), "ctw-chunks")
+    sums = scratch.save(merge(parts, shards), "ctw-sums")
+    words = sums.filter(F.col("kind") == WORDS).agg(F.sum("total").alias("n"), F.sum("many").alias("v")).first()
+    n, v = int(words["n"] or 0), int(words["v"] or 0)
+    out = scored(parts, answers(parts, sums, upper(sums), shards))
     return out.select(
-        doc_id,
-        ((F.crc32(F.col("id").cast("string")) % 7) == 2).alias("held_out"),
+        F.col("id").alias("doc_id"),
+        ((F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))) % 7) == 2).alias("held_out"),
         F.col("n").alias("n_tokens"),
-        (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("gain", F.lit(0.0)) - F.col("n") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"),
+        (F.col("base") - F.col("n") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"),
         F.col("lm").alias("score"),
+        (-F.col("lm") / F.lit(float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte"),
     )

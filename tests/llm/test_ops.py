@@ -11,8 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lexiform.llm import ctw, exact_dedup, grams, kneser_ney, license_scan, mixing, png_media, sentencepiece_codec, simhash, token_rollup, toxicity
-from lexiform.llm.queries import PIECES, RANKS, op7_ctw
+from lexiform.llm import exact_dedup, grams, kneser_ney, license_scan, mixing, png_media, sentencepiece_codec, simhash, token_rollup, toxicity
+from lexiform.llm.queries import PIECES, RANKS
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, key string, n long, sig string"
 WORDS = "the of and thion erst ander stble inge oner reat thed heou anst tion".split()
@@ -341,113 +341,6 @@ def test_deletes_leave_the_index(docs):
     assert left.count() == index.count() - 3 and left.join(gone, "digest", "left_semi").count() == 0
 
 
-# 7
-
-
-def plain_ctw(train, depth, floor):
-    """log10 of a text by recursion over dictionaries, with the same pruning."""
-    counts = collections.defaultdict(collections.Counter)
-    total = 0
-    for t in train:
-        data = ctw.END * depth + t
-        for i in range(depth, len(data)):
-            total += 1
-            for d in range(depth + 1):
-                counts[data[i - d : i]][data[i]] += 1
-    kept = {c for c, n in counts.items() if not c or sum(n.values()) >= max(floor * total, 2)}
-    kids = collections.defaultdict(list)
-    for c in kept:
-        if c:
-            kids[c[1:]].append(c)
-
-    def pair(n, level, prefix):
-        z = o = 0
-        for s, k in n.items():
-            if s >> (8 - level) == prefix:
-                z, o = (z + k, o) if not s >> (7 - level) & 1 else (z, o + k)
-        return z, o
-
-    lg = math.lgamma
-    kt = lambda z, o: lg(z + 0.5) + lg(o + 0.5) - math.log(math.pi) - lg(z + o + 1)
-
-    def rest(c, level, prefix):
-        n = collections.Counter(counts[c])
-        for k in kids[c]:
-            n.subtract(counts[k])
-        return pair(n, level, prefix)
-
-    memo = {}
-
-    def weighted(c, level, prefix):
-        key = (c, level, prefix)
-        if key not in memo:
-            own = kt(*pair(counts[c], level, prefix))
-            if not kids[c]:
-                memo[key] = own
-            else:
-                split = sum(weighted(k, level, prefix) for k in kids[c]) + kt(*rest(c, level, prefix))
-                memo[key] = np.logaddexp(own, split) - math.log(2)
-        return memo[key]
-
-    def chance(context, level, prefix):
-        told, mass, fall, d = 0.0, 1.0, 0.5, 0
-        while True:
-            c = context[len(context) - d :] if d else b""
-            z, o = pair(counts[c], level, prefix)
-            here = (o + 0.5) / (z + o + 1) if z + o else fall
-            if not kids[c]:
-                return told + mass * here
-            w = math.exp(kt(z, o) - math.log(2) - weighted(c, level, prefix))
-            if z + o:
-                told, mass = told + mass * w * here, mass * (1 - w)
-            fall = here
-            d += 1
-            if context[len(context) - d :] not in kept:
-                z, o = rest(c, level, prefix)
-                return told + mass * ((o + 0.5) / (z + o + 1) if z + o else fall)
-
-    def score(t):
-        data, out = ctw.END * depth + t, 0.0
-        for i in range(depth, len(data)):
-            for level in range(8):
-                p = chance(data[i - depth : i], level, data[i] >> (8 - level))
-                out += math.log10(p if data[i] >> (7 - level) & 1 else 1 - p)
-        return out
-
-    return score
-
-
-def test_context_trees_and_base(spark, tmp_path, empty):
-    rng = np.random.default_rng(7)
-    texts = [prose(rng, int(rng.integers(1, 12))) for _ in range(30)] + ["", None, "ÄB the", "  x\ny "]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = op7_ctw(spark, str(tmp_path)).collect()
-    assert len(got) == len(rows)
-    form = lambda t: b" ".join((t or "").encode().lower().split()) + b"\n"
-    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
-    c = collections.Counter()
-    for t in train:
-        c.update(form(t).split())
-        c[b"\n"] += 1
-    n, v = sum(c.values()), len(c)
-    score = plain_ctw([form(t) for t in train], ctw.DEPTH, ctw.FLOOR)
-    memo = {}
-    for r in got:
-        ws = [*form(texts[r.doc_id]).split(), b"\n"]
-        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(ws), sum(c[w] > 0 for w in ws), n, zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
-        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), rel=1e-9)
-        if r.doc_id in (0, 2, 5, 30, 32, 33):
-            memo.setdefault(r.doc_id, score(form(texts[r.doc_id])))
-            assert r.score == pytest.approx(memo[r.doc_id], rel=1e-5)
-    assert ctw.score(empty).count() == 0
-
-
-def test_byte_chances_add_up():
-    step, logs = ctw.build([(np.zeros(1, np.uint64), np.bincount([1, 2, 2, 255], minlength=256)[None].astype(float))])
-    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4) and not step.any()
-
-
 # 8
 
 

@@ -128,7 +128,11 @@ def thin(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)).alias("digest"), F.length(text).cast("long").alias("points"))
 
 
-def _merge(index: CuckooIndex, digest: bytes, n: int, points: int, doc_id: int) -> None:
+def _rank(points: int, doc_id: int | None) -> tuple:
+    return points, doc_id is not None, -(doc_id or 0)
+
+
+def _merge(index: CuckooIndex, digest: bytes, n: int, points: int, doc_id: int | None) -> None:
     """Signed count and best row of a digest. At a count of zero or below the digest leaves the index."""
     had = index.get(digest)
     if had is None:
@@ -138,7 +142,7 @@ def _merge(index: CuckooIndex, digest: bytes, n: int, points: int, doc_id: int)
     had[0] += n
     if had[0] <= 0:
         index.delete(digest)
-    elif n > 0 and (points, -doc_id) > (had[1], -had[2]):
+    elif n > 0 and _rank(points, doc_id) > _rank(*had[1:]):
         had[1:] = [points, doc_id]
 
 
@@ -191,23 +195,33 @@ def apply_deletes(index: DataFrame, deletes: DataFrame, shards: int) -> DataFram
 def deduplicate(docs: DataFrame) -> DataFrame:
     """doc_id, digest, keep_id, group_size, kept: a row for each row of ``docs``.
 
-    Of equal texts (null: empty) the row with the most code points stays, then the smallest doc_id. Rows that repeat a
-    doc_id are members of their groups each and are kept or dropped together. Other columns are not looked at; no rows give
-    no rows.
+    Of equal texts (null: empty) the row with the most code points stays, then the smallest doc_id, null ones last. Rows that
+    repeat a doc_id are members of their groups each and are kept or dropped together. Other columns are not looked at; no
+    rows give no rows.
     """
     rows = scratch.save(thin(docs), "digests")
     shards = max(scratch.partitions(docs), -(-rows.count() // SHARD))
     index = live_index(rows, shards)
     best = index.select("digest", F.col("doc_id").alias("keep_id"), F.col("n").alias("group_size"))
-    return rows.join(best, "digest").select("doc_id", "digest", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"))
+    return rows.join(best, "digest").select("doc_id", "digest", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns: one of each group, also where rows repeat a doc_id."""
+    """The rows of ``docs`` that stay, with their columns: one of each group.
+
+    A doc_id of one row is kept or dropped by that id alone. Of rows that repeat a doc_id, those of one digest are told apart
+    by the hash of all their columns: the smallest stays; null ids count as one that repeats.
+    """
     judged = scratch.save(deduplicate(docs), "judged")
-    kept = judged.filter("kept").select("doc_id", "digest")
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), F.col("doc_id").cast("long").alias("join_id_"), F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)).alias("digest_"))
-    if kept.count() > judged.agg(F.count_distinct("digest").alias("n")).first()["n"]:
-        kept = kept.distinct()
-        rows = rows.groupBy("join_id_", "digest_").agg(F.first("row_").alias("row_"))
-    return rows.join(kept, (F.col("join_id_") == F.col("doc_id")) & (F.col("digest_") == F.col("digest")), "left_semi").select("row_.*")
+    ids = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("kept")).filter("kept")
+    once = scratch.save(ids.select(F.col("doc_id").alias("kept_id_"), ((F.col("rows") > 1) | F.col("doc_id").isNull()).alias("again_")), "kept-ids")
+    own = F.col("doc_id").cast("long")
+    single = docs.join(once.filter("not again_").select("kept_id_"), own == F.col("kept_id_"), "left_semi")
+    again = docs.join(once.filter("again_").select("kept_id_"), own.eqNullSafe(F.col("kept_id_")), "left_semi")
+    digest = F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
+    rows = again.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), own.alias("id_"), digest.alias("digest_"), F.length(F.coalesce("text", F.lit(""))).alias("points_"))
+    stay = judged.filter("kept").select(F.col("doc_id").alias("stay_id_"), F.col("digest").alias("stay_digest_")).distinct()
+    met = rows.join(stay, F.col("id_").eqNullSafe(F.col("stay_id_")) & (F.col("digest_") == F.col("stay_digest_")), "left_semi")
+    # equal hashes: equal rows
+    first = met.groupBy("id_", "digest_").agg(F.min_by("row_", F.struct((-F.col("points_")).alias("p"), F.xxhash64(F.to_json("row_")).alias("h"))).alias("row_"))
+    return single.unionByName(first.select("row_.*"))

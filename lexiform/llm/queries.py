@@ -5,15 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiform.llm import ctw, exact_dedup, kneser_ney, license_scan, mixing, png_media, scratch, sentencepiece_codec, simhash, token_rollup, toxicity
 
-#: Where the public vocabulary files are; a parameter of the deployment.
-TOKENIZERS = os.environ.get("LEXIFORM_TOKENIZERS", "/opt/tokenizers")
-PIECES = os.path.join(TOKENIZERS, "piece_bpe_32k.model")
-RANKS = os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken")
+#: Another folder with the public vocabulary files than that of their package; a parameter of the deployment.
+TOKENIZERS = os.environ.get("LEXIFORM_TOKENIZERS")
+PIECES, RANKS = (os.path.join(TOKENIZERS, n) if TOKENIZERS else str(public_tokenizers.path(n)) for n in ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +31,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and tokens by source, language and tokenizer version, after all documents came in as one batch, twice."""
+    """Documents and tokens by source, language and tokenizer version, after batches of signed changes of all documents.
+
+    The first inserts every document, as yet without its text, and a second one with a negative id beside it; the next revises
+    the documents to their texts and deletes the others; it comes twice. What is left are the documents.
+    """
     rollup = token_rollup.Rollup(spark, scratch.folder(spark, "rollup"), [PIECES, RANKS])
-    load = table(spark, sf_dir, "documents").withColumn("kind", F.lit("insert"))
-    rollup.apply(1, load)
-    rollup.apply(1, load)  # committed before: nothing happens
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    early = docs.withColumn("text", F.lit(""))
+    beside = early.withColumn("doc_id", -1 - F.col("doc_id"))
+    rollup.apply(1, early.unionByName(beside).withColumn("kind", F.lit("insert")))
+    changes = docs.withColumn("kind", F.lit("revise")).unionByName(beside.withColumn("kind", F.lit("delete")))
+    rollup.apply(2, changes)
+    rollup.apply(2, changes)  # committed before: nothing happens
     return rollup.totals()
 
 

@@ -43,10 +43,20 @@ def count_tokens(path: str, texts: list[str]) -> list[int]:
     return [len(encoding.encode_ordinary(t)) for t in texts]
 
 
-def counted(docs: DataFrame, tokenizers: list[str]) -> DataFrame:
+def counted(docs: DataFrame, tokenizers: list[str], keep: str | None = None) -> DataFrame:
     """doc_id, source, lang, tokenizer (the vocabulary's file name), tokens: a row for each row and tokenizer. Null texts count
-    as empty."""
+    as empty. With ``keep`` (a struct column) instead doc_id, source, lang, that column and an array of the counts."""
     scratch.ship(docs.sparkSession)
+    if keep:
+
+        def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in scratch.slices(batches, 4):
+                texts = [t or "" for t in b.column(4).to_pylist()]
+                every = [list(x) for x in zip(*(count_tokens(path, texts) for path in tokenizers), strict=True)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(every, pa.list_(pa.int64()))], names=["doc_id", "source", "lang", keep, "tokens"])
+
+        kind = docs.schema[keep].dataType.simpleString()
+        return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("lang").cast("string"), keep, "text").mapInArrow(arrays, f"doc_id long, source string, lang string, {keep} {kind}, tokens array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in scratch.slices(batches, 3):
@@ -84,11 +94,13 @@ class Rollup:
         parts = [self.spark.read.schema(schema).parquet(f"{self.folder}/{what}/batch={n}").withColumn("batch", F.lit(n)) for n in self.batches()]
         return reduce(DataFrame.unionByName, parts) if parts else None
 
-    def ledger(self) -> DataFrame | None:
-        """Live counts: of each document those of its latest batch."""
+    def ledger(self, of: DataFrame | None = None) -> DataFrame | None:
+        """Live counts: of each document those of its latest batch; only of the documents in ``of`` if it is given."""
         rows = self._read("ledger", self.LEDGER)
         if rows is None:
             return None
+        if of is not None:  # the history of other documents takes no part
+            rows = rows.join(of.select("doc_id").distinct(), "doc_id", "left_semi")
         last = Window.partitionBy("doc_id")
         return rows.withColumn("last", F.max("batch").over(last)).filter("batch = last and live").select("doc_id", "source", "lang", "tokenizer", "tokens")
 
@@ -97,35 +109,29 @@ class Rollup:
 
         insert and revise set a document's counts, delete takes them away; delete of a document that isn't live and insert of
         the same content change no total. Of several changes of a document the one with the largest seq counts (without seq,
-        or with ties: the largest row in the order of kind, source, lang and text). Null doc_ids are left out.
+        or with ties: the largest in the order of kind, source, lang and SHA-256 of the text), for all tokenizers alike. Null
+        doc_ids are left out.
         """
         done = self.batches()
         if batch in done:
             return False
         if done and batch < done[-1]:
             raise ValueError("batches are applied in order")
-        rows = changes.filter("doc_id is not null")
-        kind, columns = F.col("kind"), ["doc_id", "kind", "source", "lang", "text"]
-        if "seq" in rows.columns:
-            order = Window.partitionBy("doc_id").orderBy(F.desc("seq"), F.desc("kind"), F.desc("source"), F.desc("lang"), F.desc("text"))
-            rows = rows.withColumn("turn_", F.row_number().over(order)).filter("turn_ = 1")
-        rows = rows.select(*columns)
-        new = counted(rows.filter(kind != "delete"), self.tokenizers).withColumn("live", F.lit(True))
-        if "seq" not in changes.columns:
-            # the counts are small, so the last of several changes is found after counting
-            one = Window.partitionBy("doc_id", "tokenizer").orderBy(F.desc("tokens"), F.desc("source"), F.desc("lang"))
-            new = new.withColumn("turn_", F.row_number().over(one)).filter("turn_ = 1").drop("turn_")
-        gone = rows.filter(kind == "delete").select("doc_id").distinct().select("doc_id", *[F.lit(None).cast(t).alias(n) for n, t in (("source", "string"), ("lang", "string"), ("tokenizer", "string"), ("tokens", "long"))], F.lit(False).alias("live"))
-        if "seq" not in changes.columns:
-            gone = gone.join(new.select("doc_id").distinct(), "doc_id", "left_anti")
+        seq = F.col("seq").cast("double") if "seq" in changes.columns else F.lit(0.0)
+        digest = F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)
+        rows = changes.filter("doc_id is not null").select("doc_id", "source", "lang", F.struct(seq.alias("seq"), F.col("kind").alias("kind"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), digest.alias("digest")).alias("turn_"), F.when(F.col("kind") != "delete", F.col("text")).alias("text"))
+        # counted first, so that no text moves; then one change of each document stays
+        last = counted(rows, self.tokenizers, "turn_").groupBy("doc_id").agg(F.max_by(F.struct("source", "lang", "tokens", (F.col("turn_.kind") != "delete").alias("live")), "turn_").alias("r"))
+        names = F.array(*[F.lit(os.path.basename(p)) for p in self.tokenizers])
+        new = last.filter("r.live").select("doc_id", "r.source", "r.lang", F.explode(F.arrays_zip(names.alias("tokenizer"), F.col("r.tokens").alias("tokens"))).alias("z"), F.lit(True).alias("live")).select("doc_id", "source", "lang", "z.tokenizer", "z.tokens", "live")
+        gone = last.filter("not r.live").select("doc_id", *[F.lit(None).cast(t).alias(n) for n, t in (("source", "string"), ("lang", "string"), ("tokenizer", "string"), ("tokens", "long"))], F.lit(False).alias("live"))
         target = f"{self.folder}/ledger/batch={batch}"
         new.unionByName(gone).write.mode("overwrite").parquet(target)
         written = self.spark.read.schema(self.LEDGER).parquet(target)
         signed = [written.filter("live").select("source", "lang", "tokenizer", F.lit(1).cast("long").alias("docs"), "tokens")]
-        before = self.ledger()
+        before = self.ledger(written)
         if before is not None:
-            touched = before.join(written.select("doc_id").distinct(), "doc_id", "left_semi")
-            signed.append(touched.select("source", "lang", "tokenizer", F.lit(-1).cast("long").alias("docs"), (-F.col("tokens")).alias("tokens")))
+            signed.append(before.select("source", "lang", "tokenizer", F.lit(-1).cast("long").alias("docs"), (-F.col("tokens")).alias("tokens")))
         deltas = reduce(DataFrame.unionByName, signed).groupBy("source", "lang", "tokenizer").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         deltas.filter("docs <> 0 or tokens <> 0").write.mode("overwrite").parquet(f"{self.folder}/deltas/batch={batch}")
         return True

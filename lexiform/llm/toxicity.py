@@ -214,14 +214,12 @@ class Model:
         self.extract: Extractor | None = None
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        """0 to 1. A tenth of the raw probability breaks ties of the calibrated one."""
+        """0 to 1: the calibrated probability; the raw one where labels are too few to calibrate."""
         self.extract = self.extract or Extractor(self.lexicon)
         if self.trees is None:
             return np.zeros(len(texts))
         m = self.trees.margins(self.extract.many(texts))
-        raw = 1 / (1 + np.exp(-m))
-        calibrated = np.interp(m, *self.knots) if self.knots is not None else raw
-        return np.clip(0.9 * calibrated + 0.1 * raw, 0.0, 1.0)
+        return np.interp(m, *self.knots) if self.knots is not None else 1 / (1 + np.exp(-m))
 
 
 def held_out() -> Column:
@@ -242,7 +240,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not toxic or not clean:
         scratch.drop(rows)
         return Model({}, None, None)
-    lexicon = learn_lexicon(rows, toxic, clean)
+    # calibration sees documents that neither the lexicon nor the trees were made from
+    grown = rows.filter(F.col("draw") >= CALIBRATE * 1000)
+    grown_toxic = grown.filter("toxic = 1").count()
+    lexicon = learn_lexicon(grown, grown_toxic, grown.count() - grown_toxic)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Extractor(lexicon)

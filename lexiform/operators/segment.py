@@ -65,6 +65,7 @@ def clauses(blocks: DataFrame) -> DataFrame:
         F.min("page").alias("page_start"),
         F.max("page").alias("page_end"),
         F.array_distinct(ordered(F.col("block_id"))).alias("block_ids"),
+        ordered(F.struct("block_id", "page", "engine", "conf")).alias("evidence"),
         F.min_by("section_type", "ord").alias("section_type"),
         F.count(F.lit(1)).alias("n_blocks"),
     )

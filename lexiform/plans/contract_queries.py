@@ -176,14 +176,12 @@ def tail_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clause_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    b = br.contract_blocks(spark, sf)
-    c = chunks.build(segment.clauses(b), b)
+    c = chunks.build(segment.clauses(br.contract_blocks(spark, sf)))
     return c.select("doc_id", "chunk_id", "chunk_type", "quality", "n_blocks", "pages", "text")
 
 
 def chunk_quality(spark: SparkSession, sf: str) -> DataFrame:
-    b = br.contract_blocks(spark, sf)
-    return chunks.build(segment.clauses(b), b).groupBy("chunk_type", "quality").agg(F.count(F.lit(1)).alias("n"), F.sum("n_blocks").alias("blocks"))
+    return chunks.build(segment.clauses(br.contract_blocks(spark, sf))).groupBy("chunk_type", "quality").agg(F.count(F.lit(1)).alias("n"), F.sum("n_blocks").alias("blocks"))
 
 
 def schema_constraints(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,7 +250,7 @@ def _late(value: str, conf: float, reason: str, ord_: int, page: int, where: str
     return BLOCKS + _TAIL + f" SELECT doc_id, {value} AS value, {conf}::DOUBLE AS confidence, round({conf} + CASE WHEN rank >= 0.7 * cnt THEN 0.12 ELSE 0 END, 6)::DOUBLE AS score, {reason} AS reason, 'p{page}_b{ord_}' AS block_id FROM tb JOIN p ON k = doc_id WHERE ord = {ord_} AND {where}"
 
 
-_OCR = ", ob AS (SELECT doc_id, printf('p%d_b%05d', page, ord) AS block_id, concat(norm, ' 認識済みの本文です。') AS ocr_text, conf - 0.3 * (doc_id % 2) AS ocr_conf FROM n WHERE ord % 3 = 0), nb AS (SELECT doc_id, printf('p%d_b%05d', page, ord) AS block_id, norm, length(norm) < 8 AS weak FROM n WHERE engine = 'native')"
+_OCR = ", ob AS MATERIALIZED (SELECT doc_id, ord, printf('p%d_b%05d', page, ord) AS block_id, concat(norm, ' 認識済みの本文です。') AS ocr_text, conf - 0.3 * (doc_id % 2) AS ocr_conf FROM n WHERE ord % 3 = 0), nb AS MATERIALIZED (SELECT doc_id, ord, printf('p%d_b%05d', page, ord) AS block_id, norm, length(norm) < 8 AS weak FROM n WHERE engine = 'native')"
 
 SQL = {
     "repeated_margin_text": _MARGIN + " SELECT doc_id, norm, pages FROM mt",
@@ -265,8 +263,8 @@ SQL = {
     "neighbour_context": LINES + _GEO + ", w AS (SELECT doc_id, ord, y0 - lag(y1) OVER w AS gap_before, lead(y0) OVER w - y1 AS gap_after FROM g WINDOW w AS (PARTITION BY doc_id, page ORDER BY y0, ord)) SELECT doc_id, ord, gap_before::DOUBLE AS gap_before, gap_after::DOUBLE AS gap_after, coalesce(gap_before BETWEEN 0 AND 18, false) AND coalesce(gap_after BETWEEN 0 AND 18, false) AS continues FROM w",
     "template_residual": LINES + ", k AS (SELECT doc_id, norm AS key, page, count(*) AS on_page FROM n WHERE length(norm) <= 64 AND norm <> '' AND NOT regexp_matches(norm, '[。、.!?]') GROUP BY ALL) SELECT doc_id, key, sum(on_page)::BIGINT AS times, count(*) AS pages, max(on_page) AS most FROM k GROUP BY doc_id, key HAVING sum(on_page) >= 3 AND (count(*) >= 2 OR max(on_page) >= 2)",
     "ocr_ratio": BLOCKS + ", r AS (SELECT doc_id, page, sum(CASE WHEN engine = 'ocr' THEN length(norm) ELSE 0 END) / sum(length(norm)) AS r FROM n GROUP BY doc_id, page) SELECT doc_id, page, round(r, 6) AS ocr_ratio, r >= 0.40 AS high FROM r",
-    "native_ocr_merge": BLOCKS + _OCR + ", j AS (SELECT doc_id, block_id, norm, weak, ocr_text, ocr_conf < 0.65 AS refused FROM nb LEFT JOIN ob USING (doc_id, block_id)) SELECT doc_id, block_id, CASE WHEN weak AND ocr_text IS NOT NULL AND NOT refused THEN ocr_text ELSE norm END AS merged, CASE WHEN weak AND ocr_text IS NOT NULL AND NOT refused THEN 'ocr' ELSE 'native' END AS engine, CASE WHEN weak AND ocr_text IS NOT NULL AND NOT refused THEN 'weak_native_replaced' WHEN ocr_text IS NULL THEN 'no_region' WHEN NOT weak THEN 'native_sufficient' ELSE 'ocr_refused' END AS reason FROM j",
-    "unconsumed_regions": BLOCKS + _OCR + " SELECT doc_id, block_id, round(ocr_conf, 6)::DOUBLE AS ocr_conf FROM ob WHERE (doc_id, block_id) NOT IN (SELECT doc_id, block_id FROM nb)",
+    "native_ocr_merge": BLOCKS + _OCR + ", j AS (SELECT nb.doc_id, nb.block_id, norm, weak, ocr_text, ocr_conf < 0.65 AS refused FROM nb LEFT JOIN ob USING (doc_id, ord)) SELECT doc_id, block_id, CASE WHEN weak AND ocr_text IS NOT NULL AND NOT refused THEN ocr_text ELSE norm END AS merged, CASE WHEN weak AND ocr_text IS NOT NULL AND NOT refused THEN 'ocr' ELSE 'native' END AS engine, CASE WHEN weak AND ocr_text IS NOT NULL AND NOT refused THEN 'weak_native_replaced' WHEN ocr_text IS NULL THEN 'no_region' WHEN NOT weak THEN 'native_sufficient' ELSE 'ocr_refused' END AS reason FROM j",
+    "unconsumed_regions": BLOCKS + _OCR + " SELECT doc_id, block_id, round(ocr_conf, 6)::DOUBLE AS ocr_conf FROM ob WHERE NOT EXISTS (SELECT 1 FROM nb WHERE nb.doc_id = ob.doc_id AND nb.ord = ob.ord)",
     "region_dedupe": LINES + " SELECT doc_id, page, ord AS region_id, 10 AS priority FROM n WHERE ord % 4 <> 3",
     "adjacent_islands": LINES + _GEO + ", b AS (SELECT *, CASE WHEN lag(norm) OVER w IS NULL OR norm = '' OR lag(norm) OVER w = '' THEN 1 ELSE 0 END AS begin FROM g WINDOW w AS (PARTITION BY doc_id, page ORDER BY y0, ord)), i AS (SELECT *, sum(begin) OVER (PARTITION BY doc_id, page ORDER BY y0, ord ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM b) SELECT doc_id, page, island, count(*) AS n_lines, length(string_agg(norm, chr(10) ORDER BY ord)) AS chars, min(y0)::DOUBLE AS y0, max(y1)::DOUBLE AS y1 FROM i GROUP BY doc_id, page, island",
     "heading_detect": _HEAD + " SELECT doc_id, ord, clause_no, article, clause_title FROM h WHERE clause_no IS NOT NULL",

@@ -15,8 +15,7 @@ FILLED = ["effective_date", "expiration_date", "governing_law", "jurisdiction",
 
 
 def _issues(spark: SparkSession, sf: str) -> DataFrame:
-    br.tables(spark, sf, "orders")
-    docs = spark.table("orders").select(F.col("o_orderkey").alias("doc_id"))
+    docs = br.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
     return fields.issues(docs, _fields(spark, sf))
 
 
@@ -49,8 +48,7 @@ def top_issues(spark: SparkSession, sf: str) -> DataFrame:
 
 def _expected(spark: SparkSession, sf: str) -> DataFrame:
     """What a contract was made with: its law and court as they should come out."""
-    br.tables(spark, sf, "orders", "customer")
-    return spark.sql("SELECT o_orderkey AS doc_id, CASE WHEN o_orderstatus <> 'P' THEN '日本法' END AS law, CASE c_nationkey % 5 WHEN 0 THEN '東京 地方裁判所' WHEN 1 THEN '大阪' WHEN 2 THEN '名古屋地方裁判所' WHEN 3 THEN '甲の所在地' END AS court FROM orders JOIN customer ON o_custkey = c_custkey")
+    return spark.sql("SELECT o_orderkey AS doc_id, CASE WHEN o_orderstatus <> 'P' THEN '日本法' END AS law, CASE c_nationkey % 5 WHEN 0 THEN '東京 地方裁判所' WHEN 1 THEN '大阪' WHEN 2 THEN '名古屋地方裁判所' WHEN 3 THEN '甲の所在地' END AS court FROM {orders} JOIN {customer} ON o_custkey = c_custkey", orders=br.table(spark, sf, "orders"), customer=br.table(spark, sf, "customer"))
 
 
 def field_match_classes(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,8 +95,7 @@ def manifest_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Counts by language, by source and over all, of labelled and other documents."""
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source")
     rows = d.join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id", "left")
-    rows.createOrReplaceTempView("manifest_rows")
-    return spark.sql("SELECT lang, source, count(*) AS documents, count(quality) AS labelled FROM manifest_rows GROUP BY GROUPING SETS ((lang), (source), ())")
+    return spark.sql("SELECT lang, source, count(*) AS documents, count(quality) AS labelled FROM {rows} GROUP BY GROUPING SETS ((lang), (source), ())", rows=rows)
 
 
 def content_hash_id(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Contract-shaped relations derived from the shared tables.
 
 ``line_blocks`` takes the lines of ``documents`` as text blocks with a made-up geometry. ``contract_blocks`` makes a contract
-of each order: title, parties, an article for each line item, period, law, court and signature, with noise between them. The
-contracts are written in SQL that other engines can run too, so that results can be compared.
+of each order: title, parties, an article for each line item, period, law, court and signature, with noise between them, in one
+pass: every table is read once, an order's blocks are an array that is unfolded where it lies. ``CONTRACTS`` says the same as a
+union, in SQL that other engines can run too, so that results can be compared.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from lexiform.functions import text as tx
 
 LINES_A_PAGE = 40
 
-#: Portable SQL. Columns: doc_id, ord, page, text, conf, engine.
+#: Portable SQL for comparison. Columns: doc_id, ord, page, text, conf, engine.
 CONTRACTS = """
 o AS (
   SELECT o_orderkey AS k, o_orderstatus AS status, o_totalprice AS price, c_nationkey AS nation,
@@ -63,16 +64,68 @@ lines AS (
 """
 
 
-def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Temporary views of the named tables."""
-    for n in names:
-        spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _block(ord_: str, page: str, text: str, conf: str, engine: str = "'native'", where: str | None = None) -> str:
+    row = f"named_struct('ord', CAST({ord_} AS INT), 'page', CAST({page} AS INT), 'text', {text}, 'conf', CAST({conf} AS DOUBLE), 'engine', {engine})"
+    return f"if({where}, {row}, NULL)" if where else row
+
+
+_ITEM_PAGE = "1 + floor((j + 1) / 3)"
+#: Blocks of the j-th line item r.
+_ITEM = [
+    _block("10 * (j + 1)", _ITEM_PAGE, "concat('第', j + 1, '条(納品)')", "0.96"),
+    _block("10 * (j + 1) + 1", _ITEM_PAGE, "concat('乙は、', year(r.l_shipdate), '年', month(r.l_shipdate), '月', day(r.l_shipdate), '日までに数量', CAST(r.l_quantity AS INT), 'を甲に納入する。')", "1.0 - r.l_discount * 5", "if(r.l_discount > 0.07, 'ocr', 'native')"),
+    _block("10 * (j + 1) + 2", _ITEM_PAGE, "'[A1]'", "0.5", "'ocr'", "r.l_discount > 0.08"),
+    _block("10 * (j + 1) + 3", _ITEM_PAGE, "concat(j + 1, '/', 9)", "0.9", where="(j + 1) % 3 = 2"),
+]
+_PERIOD = """CASE k % 3
+  WHEN 0 THEN concat('本契約の有効期間は、', y, '年', m, '月', d, '日から', y + 1, '年', m, '月', 1 + d % 28, '日までとする。')
+  WHEN 1 THEN concat('本契約は、契約締結日から', 1 + k % 5, '年間有効とする。')
+  ELSE concat('本契約は、', y, '年', m, '月', d, '日に発効し、令和', y + 30 - 2018, '年', m, '月1日に終了する。') END"""
+_COURT = """CASE nation % 5 WHEN 0 THEN '本契約に関する紛争は、東京地方裁判所を第一審の専属的合意管轄裁判所とする。'
+  WHEN 1 THEN '本契約に関する紛争は、大阪地方裁判所を第一審の専属的合意管轄裁判所とする。' WHEN 2 THEN '本契約に関する紛争は、名古屋簡易裁判所を管轄裁判所とする。'
+  WHEN 3 THEN '本契約に関する紛争は、甲の所在地を管轄する裁判所で解決する。' ELSE '本契約に関する紛争は、甲乙協議して解決する。' END"""
+_HEAD = [
+    _block("1", "1", "'契約書管理台帳'", "0.99"),
+    _block("2", "1", "CASE k % 4 WHEN 0 THEN '業務委託契約書' WHEN 1 THEN '秘密保持契約書' WHEN 2 THEN '売買基本契約書' ELSE 'ライセンス契約書' END", "0.98"),
+    _block("3", "1", "concat(party_a, '(以下「甲」という。)と', party_b, '(以下「乙」という。)は、次のとおり契約を締結する。')", "0.97"),
+]
+_TAIL = [
+    _block("10000", "90", "concat('第', n + 1, '条(契約期間)')", "0.96"),
+    _block("10001", "90", _PERIOD, "0.95"),
+    _block("10002", "90", "CASE WHEN k % 5 = 0 THEN '期間満了後は自動更新しない。' ELSE '期間満了の3か月前までに申し出がないときは、同一条件で自動更新する。' END", "0.94", where="k % 2 = 0"),
+    _block("10010", "90", "concat('第', n + 2, '条(準拠法)')", "0.96", where="status <> 'P'"),
+    _block("10011", "90", "CASE WHEN status = 'F' THEN '本契約の準拠法は日本法とする。' ELSE '本契約は日本国の法令に準拠する。' END", "0.93", where="status <> 'P'"),
+    _block("10020", "91", "concat('第', n + 3, '条(合意管轄)')", "0.96"),
+    _block("10021", "91", _COURT, "0.92"),
+    _block("10030", "91", "'契約書管理台帳'", "0.99"),
+    _block("10040", "92", "'別紙 明細表'", "0.9", where="k % 4 = 0"),
+    _block("10041", "92", "'品名 | 数量 | 単価'", "0.9", where="k % 4 = 0"),
+    _block("10050", "93", "concat('甲:', party_a, ' 印 記名押印')", "0.9"),
+]
+
+
+def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k, status, nation, y, m, d, party_a, party_b, n, rows (line items in order): a row for each order."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.day("o_orderdate").alias("d"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.concat(F.lit("株式会社"), F.replace("c_name", F.lit("#"), F.lit(""))).alias("party_a"))
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax")
+    items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_suppkey").alias("s"), F.sort_array(F.collect_list(item)).alias("rows"))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    made = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(items, "k", "left").join(suppliers, F.col("s") == F.col("s_suppkey"), "left")
+    party_b = F.concat(F.lit("合同会社"), F.replace(F.coalesce("s_name", F.lit("Nobody")), F.lit("#"), F.lit("")))
+    return made.select("k", "status", "nation", "y", "m", "d", "party_a", party_b.alias("party_b"), F.coalesce(F.size("rows"), F.lit(0)).alias("n"), "rows")
 
 
 def contract_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ord, page, text, conf, engine, norm, compact, block_id: one contract for each order."""
-    tables(spark, sf_dir, "orders", "customer", "lineitem", "supplier")
-    rows = spark.sql(f"WITH {CONTRACTS} SELECT doc_id, CAST(ord AS INT) AS ord, page, text, CAST(conf AS DOUBLE) AS conf, engine FROM blocks")
+    items = f"flatten(transform(coalesce(rows, array()), (r, j) -> array({', '.join(_ITEM)})))"
+    made = contracts(spark, sf_dir).withColumn("n", F.greatest("n", F.lit(0)))
+    every = F.expr(f"filter(concat(array({', '.join(_HEAD)}), {items}, array({', '.join(_TAIL)})), b -> b IS NOT NULL)")
+    rows = made.select(F.col("k").alias("doc_id"), F.inline(every))
     # made of characters that NFKC leaves alone, so the blanks are all there is to normalise
     rows = rows.withColumn("norm", tx.normalize_whitespace(F.col("text")))
     return rows.withColumn("compact", tx.compact(F.col("norm"))).withColumn("block_id", F.format_string("p%d_b%05d", "page", "ord"))
@@ -80,8 +133,8 @@ def contract_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ord, page, text, norm, bbox of the lines of ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "text"))
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("ord", "text"))
     y0 = (F.col("ord") % LINES_A_PAGE * 20 + 20).cast("double")
     x1 = 20.0 + F.least(F.lit(560), F.length("text") * 7)
     bbox = F.struct(F.lit(20.0).alias("x0"), y0.alias("y0"), x1.cast("double").alias("x1"), (y0 + 16).alias("y1"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lexiform.functions.text import NUMERAL
 
 ARTICLE = f"^\\s*第[{NUMERAL}]+\\s*条"
-STRONG_ARTICLE = f"^\\s*第[{NUMERAL}]+条"
 #: Marks of commentary.
 COMMENTARY = ["コメントの追加", "コメント", "解説編", "解説", "ひな形", "記入例", "オプション条項"]
 SIGNATURE = ["記名押印", "署名", "捺印", "印"]
@@ -45,20 +44,6 @@ def is_fragment(norm: Column) -> Column:
     return F.when(norm == "", True).when(norm.isin("甲", "乙") | is_article_heading(norm), False).otherwise((F.length(norm) <= 2) | norm.rlike(r"^[\[\]【】()0-9]+$"))
 
 
-def is_sentence(norm: Column) -> Column:
-    """Long enough with sentence marks, or several particles or hiragana, or an English sentence."""
-    hiragana = F.regexp_count(norm, F.lit(r"[ぁ-ゖ]"))
-    particles = sum((norm.contains(p).cast("int") for p in ("は", "を", "に", "が", "と", "の")), F.lit(0))
-    english = norm.rlike(r"^[A-Z][^.!?]{20,}[.!?]")
-    return (F.length(norm) >= 12) & (norm.contains("。") | norm.contains("、") & (hiragana >= 4) | (hiragana >= 8) | (particles >= 3) | english)
-
-
-def is_table(text: Column, width: Column) -> Column:
-    cells = F.size(F.filter(F.split(F.trim(text), r"\s+"), lambda x: (x != "") & (F.length(x) <= 6)))
-    numeric = F.regexp_count(text, F.lit("[0-9]")) / F.greatest(F.length(text), F.lit(1))
-    return text.contains("|") | ((width > 420) & (cells >= 3) & (F.length(text) <= 40)) | text.contains("  ") | ((numeric >= 0.45) & (width > 260))
-
-
 def native_type(norm: Column, y0: Column, y1: Column, height: Column) -> Column:
     """header and footer in the outer tenths (60 characters at most), then signature, appendix and table."""
     short = F.length(norm) <= 60
@@ -80,12 +65,6 @@ def fragment_score(norm: Column) -> Column:
     return sum((F.coalesce(s, F.lit(False)).cast("int") for s in signs), F.lit(0))
 
 
-def is_signature(norm: Column, y0: Column, height: Column) -> Column:
-    """Two cues, or one in the lowest 28 %."""
-    cues = sum((norm.contains(w).cast("int") for w in ("記名押印", "署名", "捺印", "甲", "乙", "印")), F.lit(0))
-    return (cues >= 2) & any_of(norm, SIGNATURE) | (cues >= 1) & (y0 >= height * 0.72) & any_of(norm, SIGNATURE)
-
-
 def semantic_type(value: Column, field: str) -> Column:
     """What a date value says: expiration looks for renewal first, effective for an absolute date."""
     absolute = value.rlike(r"^\d{4}-\d{2}-\d{2}$")

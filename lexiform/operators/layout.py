@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lexiform.functions import geometry as geo
 from lexiform.functions import predicates as pr
+from lexiform.functions import roles
 from lexiform.functions import text as tx
+from lexiform.functions import vocabulary as v
 
 
 def repeated_margins(blocks: DataFrame, height: float = 820.0, band: float = 0.12) -> DataFrame:
@@ -101,3 +103,67 @@ def adjacent_islands(blocks: DataFrame, gap: float = 6.0) -> DataFrame:
     rows = rows.withColumn("island", F.sum("begin").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "norm"))), lambda x: x.norm), "\n")
     return rows.groupBy("doc_id", "page", "island").agg(text.alias("text"), F.count(F.lit(1)).alias("n_lines"), F.min("bbox.y0").alias("y0"), F.max("bbox.y1").alias("y1"), F.max("bbox.x1").alias("x1"))
+
+
+def page_extents(blocks: DataFrame) -> DataFrame:
+    """(doc_id, page, height, width): how far the content of a page reaches; 1000 where nothing does."""
+    reach = lambda c: F.when(F.max(c) > 0, F.max(c)).otherwise(F.lit(1000.0))
+    return blocks.groupBy("doc_id", "page").agg(reach("bbox.y1").alias("height"), reach("bbox.x1").alias("width"))
+
+
+def mark_repeated(blocks: DataFrame) -> DataFrame:
+    """Adds ``repeated``: whether the text stands on two pages at least in the outer 12 % or as a narrow note at the right."""
+    w = Window.partitionBy("doc_id", "page")
+    rows = blocks.withColumns({"high_": F.max("bbox.y1").over(w), "wide_": F.max("bbox.x1").over(w)})
+    norm, n, box = F.col("norm"), F.length("norm"), F.col("bbox")
+    beside = (box["x0"] >= F.col("wide_") * 0.82) & (box["x1"] - box["x0"] <= F.col("wide_") * 0.24) & (n <= 40) & ~roles.sentence(norm)
+    outer = (box["y1"] <= F.col("high_") * 0.12) | (box["y0"] >= F.col("high_") * 0.88) | beside
+    where = F.when(outer & (n > 0) & (n <= 80) & ~pr.is_article_heading(norm), F.col("page"))
+    same = Window.partitionBy("doc_id", "norm")
+    return rows.withColumn("repeated", F.coalesce(F.min(where).over(same) < F.max(where).over(same), F.lit(False))).drop("high_", "wide_")
+
+
+def template_key(norm: Column, sentence: Column) -> Column:
+    """Key of a template's header: one of two shapes in 64 characters without sentence marks; else null."""
+    c = F.regexp_replace(norm, r"\s+", "")
+    plain = (norm != "") & (F.length(norm) <= 64) & ~sentence & ~c.rlike("[。:;]")
+    pair = c.contains(v.TEMPLATE_PAIR[0]) & c.contains(v.TEMPLATE_PAIR[1])
+    return F.when(plain & pair, F.lit("".join(v.TEMPLATE_PAIR))).when(plain & c.rlike(v.TEMPLATE_HEADER), c)
+
+
+def template_headers(blocks: DataFrame) -> DataFrame:
+    """Blocks (with signs) that are a template's header, three times in the document, on two pages or twice on theirs, in the
+    upper 70 % of their page or in brackets: what is left of a form, not of the contract."""
+    rows = blocks.withColumn("key", template_key(F.col("norm"), F.col("sentence")))
+    top = F.max("bbox.y1").over(Window.partitionBy("doc_id", "page"))
+    rows = rows.withColumn("reach_", top).filter("key is not null")
+    of, on = Window.partitionBy("doc_id", "key"), Window.partitionBy("doc_id", "key", "page")
+    often = (F.count(F.lit(1)).over(of) >= 3) & ((F.min("page").over(of) < F.max("page").over(of)) | (F.count(F.lit(1)).over(on) >= 2))
+    placed = (F.col("bbox.y0") <= F.col("reach_") * 0.70) | F.col("key").startswith("(")
+    return rows.withColumn("residual", often & placed).filter("residual").drop("reach_", "residual")
+
+
+def mirror_key(norm: Column) -> Column:
+    """The text without blanks and without punctuation at its ends: what mirrored copies share."""
+    return F.regexp_replace(F.regexp_replace(norm, r"\s+", ""), "^[、。.,::;]+|[、。.,::;]+$", "")
+
+
+def drop_mirrored(blocks: DataFrame) -> DataFrame:
+    """Body blocks without those that mirror one kept before them on the page: the same ten characters or more, beside each
+    other at the same height, on either side of the page's middle. Greedy in the order of place, so it is a fold."""
+    w = Window.partitionBy("doc_id", "page")
+    rows = blocks.withColumns({"key": mirror_key(F.col("norm")), "left_": F.min("bbox.x0").over(w), "right_": F.max("bbox.x1").over(w)})
+    item = F.struct("bbox.y0", "bbox.x0", "ord", "key", "bbox", "left_", "right_", "norm")
+    pages = rows.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+    def mirrors(a: Column, b: Column) -> Column:
+        size = lambda x, lo, hi: x.bbox[hi] - x.bbox[lo]
+        shared = lambda lo, hi: F.greatest(F.lit(0.0), F.least(a.bbox[hi], b.bbox[hi]) - F.greatest(a.bbox[lo], b.bbox[lo]))
+        tall, wide = ([F.least(size(a, *e), size(b, *e)), F.greatest(size(a, *e), size(b, *e))] for e in (("y0", "y1"), ("x0", "x1")))
+        width = F.greatest(F.lit(1.0), a.right_ - a.left_)
+        middle = a.left_ + width / 2
+        at, bt = (a.bbox.x0 + a.bbox.x1) / 2, (b.bbox.x0 + b.bbox.x1) / 2
+        alike = (tall[0] > 0) & (wide[0] > 0) & (tall[1] <= tall[0] * 1.25) & (wide[1] <= wide[0] * 1.35) & (shared("y0", "y1") >= tall[0] * 0.85) & (shared("x0", "x1") <= wide[0] * 0.15)
+        return (a.key == b.key) & (F.length(a.key) >= 10) & alike & (F.abs(at - bt) >= F.greatest(F.lit(120.0), width * 0.28)) & ((at < middle) & (bt > middle) | (at > middle) & (bt < middle))
+
+    return pages.select("doc_id", "page", F.explode(keep_first(F.col("items"), mirrors)).alias("r")).select("doc_id", "page", "r.ord", "r.norm", "r.bbox")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiform.plans import contract_queries, review_queries, text_queries
+from lexiform.plans import contract_queries, review_queries, role_queries, text_queries
 
-PLANS = (text_queries, contract_queries, review_queries)
+PLANS = (text_queries, contract_queries, role_queries, review_queries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiform.functions import dates, geometry
+from lexiform.functions import dates, geometry, vocabulary
 from lexiform.functions import predicates as pr
+from lexiform.functions import roles
 from lexiform.functions import text as tx
 from lexiform.sources import bridges as br
 
@@ -14,6 +15,9 @@ from lexiform.sources import bridges as br
 NORM = r"trim(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '\s+', ' ', 'g'))"
 LINES = f"WITH {br.LINES}, n AS (SELECT doc_id, ord, ord // 40 + 1 AS page, text, {NORM} AS norm FROM lines)"
 BLOCKS = f"WITH {br.CONTRACTS}, n AS (SELECT doc_id, CAST(ord AS INT) AS ord, page, text, text AS norm, regexp_replace(text, '\\s+', '', 'g') AS compact, CAST(conf AS DOUBLE) AS conf, engine FROM blocks)"
+#: Portable SQL for sentences, with hiragana counted as hira and English words as words.
+_PARTICLES = " + ".join(f"contains(norm, '{x}')::INT" for x in vocabulary.SENTENCE_PARTICLES)
+SENTENCE = f"(length(norm) >= 16 AND regexp_matches(norm, '{vocabulary.alternatives(vocabulary.SENTENCE_MARKS)}') OR length(norm) >= 14 AND {_PARTICLES} >= 2 AND hira >= 3 OR length(norm) >= 16 AND hira >= 5 OR words >= 4 AND regexp_matches(lower(norm), '{vocabulary.alternatives(vocabulary.ENGLISH_MARKS)}') OR words >= 6 AND regexp_matches(norm, '[.;]$') OR length(norm) >= 24 AND hira >= 3)"
 ART = f"^\\s*第[{tx.NUMERAL}]+\\s*条"
 
 
@@ -110,7 +114,7 @@ def _on_blocks(test):
 
 def table_lines(spark: SparkSession, sf: str) -> DataFrame:
     b = br.line_blocks(spark, sf)
-    return b.filter(pr.is_table(F.col("text"), F.col("bbox.x1") - F.col("bbox.x0"))).select("doc_id", "ord")
+    return roles.with_signs(b.withColumns({"height": F.lit(820.0), "repeated": F.lit(False)})).filter("table").select("doc_id", "ord")
 
 
 def block_types(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,7 +151,7 @@ QUERIES = {
     "page_number_blocks": _on_blocks(pr.is_page_number),
     "annotation_blocks": _on_blocks(pr.is_annotation),
     "fragment_lines": _flagged(pr.is_fragment),
-    "sentence_lines": _flagged(pr.is_sentence),
+    "sentence_lines": _flagged(roles.sentence),
     "table_lines": table_lines,
     "block_types": block_types,
     "fragment_scores": fragment_scores,
@@ -170,8 +174,8 @@ SQL = {
     "page_number_blocks": BLOCKS + r" SELECT doc_id, ord, norm FROM n WHERE norm <> '' AND (regexp_matches(norm, '(?i)^\s*(page\s*)?[0-9]{1,4}\s*(/\s*[0-9]{1,4})?\s*(ページ|頁)?\s*$') OR regexp_matches(norm, '^\s*[IVXLCDM]{1,8}\s*$'))",
     "annotation_blocks": BLOCKS + r" SELECT doc_id, ord, norm FROM n WHERE regexp_matches(norm, '^\s*\[[^\]]{1,20}\]\s*$')",
     "fragment_lines": LINES + f" SELECT doc_id, ord, norm FROM n WHERE {_FRAG}",
-    "sentence_lines": LINES + r" SELECT doc_id, ord, norm FROM n WHERE length(norm) >= 12 AND regexp_matches(norm, '^[A-Z][^.!?]{20,}[.!?]')",
-    "table_lines": LINES + r", g AS (SELECT *, least(560, length(text) * 7) AS w, len(list_filter(regexp_split_to_array(trim(text), '\s+'), lambda x: x <> '' AND length(x) <= 6)) AS cells, (length(text) - length(regexp_replace(text, '[0-9]', '', 'g'))) / greatest(length(text), 1) AS num FROM n) SELECT doc_id, ord FROM g WHERE contains(text, '|') OR contains(text, '  ') OR (w > 420 AND cells >= 3 AND length(text) <= 40) OR (num >= 0.45 AND w > 260)",
+    "sentence_lines": LINES + f", h AS (SELECT *, len(regexp_extract_all(norm, '[぀-ゟ]')) AS hira, len(regexp_extract_all(lower(norm), '[a-z]+')) AS words FROM n) SELECT doc_id, ord, norm FROM h WHERE {SENTENCE}",
+    "table_lines": LINES + f", h AS (SELECT *, len(regexp_extract_all(norm, '[぀-ゟ]')) AS hira, len(regexp_extract_all(lower(norm), '[a-z]+')) AS words, least(560, length(text) * 7) AS w, list_filter(string_split(norm, ' '), lambda x: x <> '') AS cells FROM n) SELECT doc_id, ord FROM h WHERE contains(norm, '|') OR w >= 240 AND len(cells) >= 3 AND len(list_filter(cells, lambda x: length(x) <= 8)) >= 3 AND NOT {SENTENCE} OR length(norm) >= 8 AND w > 260 AND len(regexp_extract_all(norm, '[0-9,./:%]')) / length(norm) >= 0.45",
     "block_types": BLOCKS + ", g AS (SELECT *, ord % 40 * 20 + 20 AS y0 FROM n) SELECT doc_id, ord, CASE WHEN length(norm) <= 60 AND y0 + 16 <= 82 THEN 'header' WHEN length(norm) <= 60 AND y0 >= 738 THEN 'footer' WHEN contains(norm, '署名') OR contains(norm, '印') THEN 'signature_area' WHEN contains(norm, '別紙') THEN 'appendix' WHEN contains(norm, '|') THEN 'table' ELSE 'text' END AS block_type FROM g",
     "fragment_scores": LINES + f" SELECT doc_id, ord, (length(norm) <= 4)::INT + (length(norm) <= 8)::INT + regexp_matches(norm, '^[^\\p{{L}}]*$')::INT + regexp_matches(norm, '^[0-9\\-/. ]+$')::INT + ({_FRAG})::INT + (NOT regexp_matches(norm, '[。、.,]'))::INT AS fragment_score FROM n",
     "date_semantics": "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'absolute' WHEN 1 THEN 'anchor' WHEN 2 THEN 'relative_term' WHEN 3 THEN 'placeholder_term' WHEN 4 THEN 'renewable_term' ELSE 'absolute' END AS effective, CASE o_orderkey % 6 WHEN 0 THEN 'absolute' WHEN 1 THEN 'relative_term' WHEN 2 THEN 'relative_term' WHEN 3 THEN 'placeholder_term' WHEN 4 THEN 'renewable_term' ELSE 'absolute' END AS expiration FROM orders",

@@ -38,6 +38,19 @@ FORM = r"(^|\s)(様式第?[0-9一二三四五六七八九十]+|通知書|届出
 TEMPLATE_PAIR = ["業務委託契約標準契約書(新)", "業務委託契約標準契約書(旧)"]
 TEMPLATE_HEADER = r"^\(?[0-9一二三四五六七八九十]+\)?(約款本文|様式|業務委託契約約款別表)$"
 
+NUMBER = "[0-9一二三四五六七八九十百千〇零]+"
+CITATION_TAIL = f"(第{NUMBER}(項|号|節|款)|[のノ]{NUMBER}|に|を|が|へ|で|と|の|では|において|により|による|に基づ|に従|に定め|で定め|または|若しくは)"
+REFERENCE_CHAIN = f"([、,]第{NUMBER}条|(及び|又は|または|若しくは)第{NUMBER}条)"
+ORPHAN_HEAD = "^[のてにをがでと、,]"
+CLAUSE_ENDS = ["の", "て", "に", "を", "が", "で", "と", "、"]
+FORM_SIGNAL = "様式第?[0-9一二三四五六七八九十]*|通知書|届出書|請求書|実績報告書"
+TAIL_FORM_SIGNAL = "必要に応じて追加|任意記載"
+APPENDIX_SIGNAL = r"(^|\s)(別紙|別表|別添|付属資料|仕様書)"
+SIGNATURE_SIGNAL = r"記名押印|署名欄|押印欄|甲\s*:|乙\s*:|住所|氏名|代表者"
+RESTART_SIGNAL = "業務委託契約約款|約款本文"
+BLANK_ARTICLE = r"^\s*第[○◯〇□■]+\s*条"
+HEADING_UNITS = f"第{NUMBER}(章|節|款|編)"
+
 
 def alternatives(words: list[str]) -> str:
     """A pattern for any of the words."""

@@ -39,7 +39,7 @@ END = b"\n"
 LEAD = END * DEPTH
 CHUNK_BYTES = 32_000_000
 #: Windows that wait to be added up.
-PENDING = 4_000_000
+PENDING = 1_500_000
 WINDOWS, WORDS, TEXT = 0, 1, 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -261,11 +261,16 @@ class Lookup:
             bits = max(4, int(6 * len(keys)).bit_length())
             factor, shift = np.uint64(factor), np.uint64(64 - bits)
             slot = (keys * factor >> shift).astype(np.int64)
-            alone = np.bincount(slot, minlength=1 << bits)[slot] == 1
+            last, number = np.empty(1 << bits, np.int32), np.arange(len(keys), dtype=np.int32)
+            last[slot] = number
+            met = slot[last[slot] != number]
+            del last
             table = np.full(1 << bits, np.nan, np.float32)
-            table[slot[alone]] = vals[alone]
+            table[slot] = vals
+            table[met] = np.nan
             self.tables.append((factor, shift, table))
-            keys, vals = keys[~alone], vals[~alone]
+            left = np.isnan(table[slot])
+            keys, vals = keys[left], vals[left]
         order = np.argsort(keys)
         self.keys, self.vals = keys[order], vals[order]
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiform.functions import predicates as pr
+from lexiform.functions import roles
 from lexiform.functions import text as tx
+from lexiform.functions import vocabulary as v
 
 HEADING = f"^\\s*[「【(]?\\s*第([{tx.NUMERAL}]+)\\s*条[」】)]?\\s*(.*)$"
 APPENDIX = r"^\s*(附則|別紙|別表)\s*(.*)$"
@@ -30,13 +32,81 @@ def with_headings(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("clause_no", no).withColumn("article", F.when(article, tx.article_number(F.col("clause_no")))).withColumn("clause_title", title)
 
 
+def section_of(norm: Column, clause_no: Column, seen: Column, block_type: Column | None = None) -> Column:
+    """Section that a block's text speaks of; preamble until an article heading was ``seen``."""
+    signed = norm.rlike(v.SIGNATURE_SIGNAL) & roles.has(norm, ["記名押印", "署名", "押印欄", "住所", "氏名", "代表者"])
+    stamp = block_type.isin("signature_area", "stamp_area") if block_type is not None else F.lit(False)
+    return roles.first_of([
+        ("main_contract", (norm == "") | clause_no.startswith("第")),
+        ("special_provisions", norm.contains("特記事項")),
+        ("appendix", norm.rlike(v.APPENDIX_SIGNAL) | norm.rlike(v.RESTART_SIGNAL)),
+        ("instruction", norm.rlike(v.INSTRUCTION)),
+        ("form", norm.rlike(f"{v.FORM_SIGNAL}|{v.TAIL_FORM_SIGNAL}|{v.BLANK_ARTICLE}")),
+        ("signature", stamp | norm.rlike(v.EXECUTION) | signed),
+        ("preamble", ~seen),
+    ], "main_contract")
+
+
+def boundary_signal(norm: Column, section: Column) -> Column:
+    """Whether a block opens the section it is taken for, by words of that section."""
+    words = {"special_provisions": "特記事項", "appendix": f"{v.APPENDIX_SIGNAL}|{v.RESTART_SIGNAL}", "form": f"{v.FORM_SIGNAL}|{v.TAIL_FORM_SIGNAL}", "instruction": v.INSTRUCTION, "signature": f"{v.SIGNATURE_SIGNAL}|{v.EXECUTION}", "main_contract": f"^\\s*第{v.NUMBER}\\s*条"}
+    out = F.lit(False)
+    for name, pattern in words.items():
+        out = F.when(section == name, norm.rlike(pattern)).otherwise(out)
+    return out
+
+
+def boundary_category(norm: Column, section: Column) -> Column:
+    """Why a boundary is doubtful: tail_restart, signature, form_instruction, appendix or other."""
+    return roles.first_of([("tail_restart", norm.rlike(v.RESTART_SIGNAL)), ("signature", section == "signature"), ("form_instruction", section.isin("form", "instruction")), ("appendix", section == "appendix")], "other")
+
+
+def subtitle_candidate(norm: Column, clause_no: Column, searchable: Column) -> Column:
+    """A title in brackets that may belong to the next article."""
+    title = F.trim(F.regexp_extract(norm, r"^\s*[(]([^)]{1,60})[)]\s*$", 1))
+    return F.coalesce(clause_no.startswith("第"), F.lit(False)) & ~pr.is_annotation(norm) & (title != "") & (F.length(title) <= 22) & ~title.rlike("[。、:;]") & (searchable | (F.length(title) > 4))
+
+
+def in_body_reference(norm: Column) -> Column:
+    """第N条 that cites: a heading by shape only."""
+    tail = F.regexp_extract(F.regexp_replace(norm, r"\s+", ""), "^第[^条]*条(.*)$", 1)
+    return tail.rlike(f"^({v.CITATION_TAIL}|{v.REFERENCE_CHAIN})")
+
+
+def embedded_headings(norm: Column) -> Column:
+    """Parts of a text: cut before each article number that follows the end of a sentence or a bracket and doesn't cite."""
+    return F.filter(F.transform(F.split(norm, rf"(?<=[。.:;)\]】]\s?)(?=第{v.NUMBER}条(?!\s*{v.CITATION_TAIL}))"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def single_heading(norm: Column) -> Column:
+    """A chapter heading that is written twice, once."""
+    words, c = F.split(norm, " "), F.regexp_replace(norm, " ", "")
+    half, n = (F.size(words) / 2).cast("int"), F.length(c)
+    left, right = F.array_join(F.slice(words, 1, F.greatest(half, F.lit(1))), " "), F.array_join(F.slice(words, half + 1, F.greatest(half, F.lit(1))), " ")
+    by_words = (F.size(words) >= 4) & (F.size(words) % 2 == 0) & (left == right)
+    by_signs = (n % 2 == 0) & (n >= 8) & (F.substr(c, F.lit(1), (n / 2).cast("int")) == F.substr(c, (n / 2 + 1).cast("int")))
+    heading = (F.length(norm) <= 100) & norm.rlike(f"^{v.HEADING_UNITS}")
+    return F.when(heading & by_words, left).when(heading & by_signs, F.substr(c, F.lit(1), (n / 2).cast("int"))).otherwise(norm)
+
+
+def single_prefix(norm: Column, clause_no: Column) -> Column:
+    """A clause's text whose heading, bracketed title or number is not said twice at once."""
+    c = F.regexp_replace(norm, rf"({v.HEADING_UNITS}\s*[^\n]{{0,30}}|特記事項|附則)\s+\1", "$1")
+    c = F.regexp_replace(c, r"([(][^)]{1,40}[)])\s+\1", "$1")
+    twice = c.startswith(F.concat(clause_no, clause_no)) | c.startswith(F.concat(clause_no, F.lit(" "), clause_no))
+    rest = F.regexp_replace(c, rf"^\s*(第{v.NUMBER}条)(\s*\1)+\s*", "")
+    return F.when(F.coalesce(twice, F.lit(False)), F.trim(F.concat(clause_no, F.lit(" "), rest))).otherwise(c)
+
+
 def with_sections(blocks: DataFrame) -> DataFrame:
-    """Adds section_type: preamble until the first heading, then main_contract, appendix or signature."""
-    seen = F.max(F.col("clause_no").isNotNull().cast("int")).over(by_doc().rowsBetween(Window.unboundedPreceding, 0))
-    tail = F.max(F.col("norm").rlike(APPENDIX).cast("int")).over(by_doc().rowsBetween(Window.unboundedPreceding, 0))
+    """Adds section_type: what a block says, and appendix from an appendix on until an article heading of the main text can't be
+    told from one of the appendix."""
+    before = by_doc().rowsBetween(Window.unboundedPreceding, 0)
     norm = F.col("norm")
-    section = F.when(pr.any_of(norm, ["記名押印", "署名捺印"]), "signature").when(tail == 1, "appendix").when(seen == 0, "preamble").otherwise("main_contract")
-    return blocks.withColumn("section_type", section)
+    rows = blocks.withColumn("seen_", F.coalesce(F.max(F.col("clause_no").startswith("第")).over(before), F.lit(False)))
+    said = section_of(norm, F.coalesce("clause_no", F.lit("")), F.col("seen_"))
+    tail = F.max(norm.rlike(APPENDIX).cast("int")).over(before)
+    return rows.withColumn("section_type", F.when(said == "signature", said).when(tail == 1, "appendix").otherwise(said)).drop("seen_")
 
 
 def with_clauses(blocks: DataFrame) -> DataFrame:
@@ -73,13 +143,90 @@ def clauses(blocks: DataFrame) -> DataFrame:
     return g.withColumn("clause_id", F.format_string("clause_%03d", "clause_ord")).withColumn("flags", flags)
 
 
+def boundary_score(prev: dict[str, Column], cur: dict[str, Column]) -> Column:
+    """Confidence of the boundary between two clauses: more for the next number and a near page, less for another section, a
+    number that is missing or doesn't rise, a short text and one that begins or ends in the middle of a sentence."""
+    n, p = cur["article"], prev["article"]
+    number = F.when(n == p + 1, 0.30).when(n <= p, -0.40).when(n.isNotNull() & p.isNotNull(), 0.0).when(cur["clause_no"].isNull(), -0.18).otherwise(0.0)
+    text = tx.normalize_whitespace(cur["text"])
+    marks = [(prev["section_type"] != cur["section_type"], -0.35), (F.length(text) <= 16, -0.10), (text.rlike(v.ORPHAN_HEAD), -0.15), (text.rlike(f"({v.alternatives(v.CLAUSE_ENDS)})$"), -0.08)]
+    score = F.lit(0.55) + number + F.when(cur["page_start"] - prev["page_end"] <= 1, 0.08).otherwise(-0.10)
+    for holds, points in marks:
+        score = score + F.when(holds, points).otherwise(0.0)
+    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 6)
+
+
 def boundary_confidence(c: DataFrame) -> DataFrame:
-    """Confidence of each boundary with the clause before: 0.55, more for a new section or the next number, less for a jump back,
-    a page gap or a short clause."""
+    """Clauses that follow another one, with the confidence of the boundary between them."""
     w = by_doc("clause_ord")
-    before = {n: F.lag(n).over(w) for n in ("section_type", "article", "page_end")}
-    score = F.lit(0.55) + F.when(F.col("section_type") != before["section_type"], 0.10).otherwise(0.0) + F.when(F.col("article") == before["article"] + 1, 0.20).when(F.col("article") <= before["article"], -0.20).otherwise(0.0) + F.when(F.col("page_start") - before["page_end"] > 1, -0.10).otherwise(0.0) + F.when(F.length("text") < 20, -0.10).otherwise(0.0)
-    return c.withColumn("has_before", before["section_type"].isNotNull()).withColumn("confidence", F.round(score, 6)).filter("has_before")
+    names = ("section_type", "article", "page_end")
+    rows = c.withColumns({f"{n}_before": F.lag(n).over(w) for n in names})
+    prev = {n: F.col(f"{n}_before") for n in names}
+    cur = {n: F.col(n) for n in ("section_type", "article", "page_start", "clause_no", "text")}
+    return rows.filter("section_type_before is not null").withColumn("confidence", boundary_score(prev, cur))
+
+
+def _merge(last: Column, x: Column, flag: str) -> Column:
+    return F.struct(
+        last["i"].alias("i"), last["clause_no"].alias("clause_no"), last["article"].alias("article"), last["clause_title"].alias("clause_title"), last["section_type"].alias("section_type"), last["page_start"].alias("page_start"),
+        F.greatest(last["page_end"], x["page_end"]).alias("page_end"), F.concat(F.rtrim(last["text"]), F.lit("\n"), F.ltrim(x["text"])).alias("text"), F.array_distinct(F.concat(last["block_ids"], x["block_ids"])).alias("block_ids"), F.array_union(last["flags"], F.array(F.lit(flag))).alias("flags"),
+    )
+
+
+def _fold(items: Column, holds, flag: str) -> Column:
+    """A document's clauses in order, each merged into the one kept before it where ``holds``."""
+
+    def step(kept: Column, x: Column) -> Column:
+        last = F.element_at(kept, -1)
+        return F.when((F.size(kept) > 0) & F.coalesce(holds(last, x), F.lit(False)), F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(_merge(last, x, flag)))).otherwise(F.concat(kept, F.array(x)))
+
+    return F.aggregate(items, F.filter(items, lambda x: F.lit(False)), step)
+
+
+def _lines(text: Column) -> Column:
+    return F.size(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""))
+
+
+def is_orphan(last: Column, x: Column) -> Column:
+    """A short paragraph without a number, after a clause with one in its section."""
+    t = tx.normalize_whitespace(x["text"])
+    return (last["section_type"] == x["section_type"]) & x["clause_no"].isNull() & last["clause_no"].isNotNull() & (t != "") & ~pr.is_annotation(t) & (F.length(t) <= 140) & ~t.startswith("第")
+
+
+def is_trailing(last: Column, x: Column, least: int = 20) -> Column:
+    t = tx.normalize_whitespace(x["text"])
+    return (last["section_type"] == x["section_type"]) & x["clause_no"].isNull() & last["clause_no"].isNotNull() & ((F.length(t) <= least) | t.rlike(v.ORPHAN_HEAD) | (_lines(x["text"]) <= 2) & pr.is_fragment(t))
+
+
+def is_reversed(last: Column, x: Column) -> Column:
+    """A number that goes back, in a short clause with a doubtful boundary."""
+    return (last["section_type"] == x["section_type"]) & (x["article"] < last["article"]) & (F.length(tx.normalize_whitespace(x["text"])) <= 80) & (_lines(x["text"]) <= 3) & (boundary_score(last, x) < 0.45)
+
+
+def is_citation(last: Column, x: Column) -> Column:
+    """A citation that was taken for a clause: its number goes on as citations do."""
+    c = F.regexp_replace(x["text"], r"\s+", "")
+    tail = F.substr(c, F.length(x["clause_no"]) + 1)
+    far = x["article"] >= 150
+    main = (last["section_type"] == "main_contract") & (x["section_type"] == "main_contract")
+    return main & x["article"].isNotNull() & x["clause_title"].isNull() & c.startswith(x["clause_no"]) & (tail.rlike(f"^第{v.NUMBER}(項|号|節|款)") | far & (tail.rlike(f"^{v.CITATION_TAIL}") | (tail == "")))
+
+
+MERGES = {"attached_orphan_paragraph": is_orphan, "merged_trailing_fragment": is_trailing, "repaired_reversed_clause_number": is_reversed, "merged_citation_like_clause": is_citation}
+
+
+def repaired(c: DataFrame, merges: list[str] | None = None) -> DataFrame:
+    """Clauses after the merges, in order of MERGES: each is a fold over a document's clauses against the last one kept.
+
+    Headings said twice are said once before citations are looked for. A document's clauses are few, so they are one array.
+    """
+    item = F.struct(F.col("clause_ord").alias("i"), "clause_no", "article", "clause_title", "section_type", "page_start", "page_end", "text", "block_ids", "flags")
+    rows = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(item), lambda a, b: (a.i - b.i).cast("int")).alias("items"))
+    for name in merges or list(MERGES):
+        if name == "merged_citation_like_clause":
+            rows = rows.withColumn("items", F.transform("items", lambda x: x.withField("text", F.when(single_prefix(tx.normalize_whitespace(x.text), x.clause_no) == tx.normalize_whitespace(x.text), x.text).otherwise(single_prefix(tx.normalize_whitespace(x.text), x.clause_no)))))
+        rows = rows.withColumn("items", _fold(F.col("items"), MERGES[name], name))
+    return rows.select("doc_id", F.explode("items").alias("c")).select("doc_id", F.col("c.i").alias("clause_ord"), *[F.col(f"c.{n}") for n in ("clause_no", "article", "clause_title", "section_type", "page_start", "page_end", "text", "block_ids", "flags")])
 
 
 def stability(c: DataFrame) -> DataFrame:

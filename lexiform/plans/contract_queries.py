@@ -240,7 +240,7 @@ _KEPT = _HEAD.replace(" FROM n)", r" FROM n WHERE NOT regexp_matches(norm, '^[0-
 _SECT = ", s AS (SELECT *, CASE WHEN contains(norm, '記名押印') THEN 'signature' WHEN max((norm LIKE '別紙%')::INT) OVER w = 1 THEN 'appendix' WHEN max((clause_no IS NOT NULL)::INT) OVER w = 0 THEN 'preamble' ELSE 'main_contract' END AS section_type FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING))"
 _SEG = _KEPT + _SECT + ", s2 AS (SELECT *, (clause_no IS NOT NULL OR section_type IS DISTINCT FROM lag(section_type) OVER (PARTITION BY doc_id ORDER BY ord))::INT AS b FROM s), seg AS (SELECT *, sum(b) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS clause_ord FROM s2)"
 _CL = _SEG + ", cl AS (SELECT doc_id, clause_ord, arg_min(clause_no, ord) FILTER (WHERE b = 1) AS clause_no, arg_min(article, ord) FILTER (WHERE b = 1) AS article, string_agg(norm, chr(10) ORDER BY ord) AS text, min(page) AS page_start, max(page) AS page_end, string_agg(printf('p%d_b%05d', page, ord), ',' ORDER BY ord) AS blocks, arg_min(section_type, ord) AS section_type, count(*) AS n_blocks, max((engine = 'ocr')::INT) AS has_ocr, max((engine = 'native')::INT) AS has_native FROM seg GROUP BY doc_id, clause_ord), c AS (SELECT *, length(text) < 20 AS short, n_blocks = 1 AND clause_no IS NOT NULL AS bare FROM cl)"
-_CONF = _CL + ", bc AS (SELECT doc_id, clause_ord, section_type, round(0.55 + CASE WHEN section_type <> lag(section_type) OVER w THEN 0.10 ELSE 0 END + CASE WHEN article = lag(article) OVER w + 1 THEN 0.20 WHEN article <= lag(article) OVER w THEN -0.20 ELSE 0 END + CASE WHEN page_start - lag(page_end) OVER w > 1 THEN -0.10 ELSE 0 END + CASE WHEN length(text) < 20 THEN -0.10 ELSE 0 END, 6)::DOUBLE AS confidence, lag(section_type) OVER w IS NOT NULL AS has FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY clause_ord))"
+_CONF = _CL + ", bc AS (SELECT doc_id, clause_ord, section_type, round(greatest(0, least(1, 0.55 + CASE WHEN section_type <> lag(section_type) OVER w THEN -0.35 ELSE 0 END + CASE WHEN article = lag(article) OVER w + 1 THEN 0.30 WHEN article <= lag(article) OVER w THEN -0.40 WHEN clause_no IS NULL THEN -0.18 ELSE 0 END + CASE WHEN page_start - lag(page_end) OVER w > 1 THEN -0.10 ELSE 0.08 END + CASE WHEN length(text) <= 16 THEN -0.10 ELSE 0 END + CASE WHEN regexp_matches(text, '^[のてにをがでと、,]') THEN -0.15 ELSE 0 END + CASE WHEN regexp_matches(text, '[のてにをがでと、]$') THEN -0.08 ELSE 0 END)), 6)::DOUBLE AS confidence, lag(section_type) OVER w IS NOT NULL AS has FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY clause_ord))"
 _TAIL = ", tb AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS rank, count(*) OVER (PARTITION BY doc_id) AS cnt, max(page) OVER (PARTITION BY doc_id) AS last_page FROM n)"
 _ISO = "printf('%04d-%02d-%02d', {}, {}, {})"
 

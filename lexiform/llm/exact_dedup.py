@@ -117,6 +117,10 @@ class CuckooIndex:
         return ((e[0], e[1]) for entries in (self.stored, self.stash.values()) for e in entries if e is not None)
 
 
+#: Ids of several rows are broadcast up to this number, joined beyond it.
+FEW = 100_000
+
+
 def normalised(text: Column) -> Column:
     """The text without the characters of ``[\\x20\\x09-\\x0D]``; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), BLANKS, "")
@@ -213,11 +217,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     by the hash of all their columns: the smallest stays; null ids count as one that repeats.
     """
     judged = scratch.save(deduplicate(docs), "judged")
-    ids = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("kept")).filter("kept")
-    once = scratch.save(ids.select(F.col("doc_id").alias("kept_id_"), ((F.col("rows") > 1) | F.col("doc_id").isNull()).alias("again_")), "kept-ids")
+    ids = judged.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("again_"), F.bool_or("kept").alias("kept_")).withColumn("again_", F.col("again_") | F.col("doc_id").isNull())
+    # ids that go, few beside those that stay, and ids of several rows, hardly any: tables of known size
+    gone = scratch.save(ids.filter("again_ or not kept_").filter("doc_id is not null").select(F.col("doc_id").alias("gone_id_")), "gone-ids")
+    several = scratch.save(ids.filter("again_ and kept_").select(F.col("doc_id").alias("several_id_")), "several-ids")
     own = F.col("doc_id").cast("long")
-    single = docs.join(once.filter("not again_").select("kept_id_"), own == F.col("kept_id_"), "left_semi")
-    again = docs.join(once.filter("again_").select("kept_id_"), own.eqNullSafe(F.col("kept_id_")), "left_semi")
+    single = docs.filter(own.isNotNull()).join(gone, own == F.col("gone_id_"), "left_anti")
+    again = docs.join(F.broadcast(several) if several.count() <= FEW else several, own.eqNullSafe(F.col("several_id_")), "left_semi")
     digest = F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
     rows = again.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), own.alias("id_"), digest.alias("digest_"), F.length(F.coalesce("text", F.lit(""))).alias("points_"))
     stay = judged.filter("kept").select(F.col("doc_id").alias("stay_id_"), F.col("digest").alias("stay_digest_")).distinct()

@@ -339,5 +339,8 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8)
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group, with their columns. Rows that repeat such a doc_id stay."""
-    gone = similar_documents(docs, words, similarity).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id_"))
+    found = similar_documents(docs, words, similarity)
+    # few beside those that stay: as a table of known size they need not make the texts move
+    gone = scratch.save(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id_")), "gone-ids")
+    scratch.drop(found)
     return docs.join(gone, F.col("doc_id") == F.col("gone_id_"), "left_anti")

@@ -221,9 +221,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     # ids that go, few beside those that stay, and ids of several rows, hardly any: tables of known size
     gone = scratch.save(ids.filter("again_ or not kept_").filter("doc_id is not null").select(F.col("doc_id").alias("gone_id_")), "gone-ids")
     several = scratch.save(ids.filter("again_ and kept_").select(F.col("doc_id").alias("several_id_")), "several-ids")
-    own = F.col("doc_id").cast("long")
-    single = docs.filter(own.isNotNull()).join(gone, own == F.col("gone_id_"), "left_anti")
-    again = docs.join(F.broadcast(several) if several.count() <= FEW else several, own.eqNullSafe(F.col("several_id_")), "left_semi")
+    own = docs["doc_id"].cast("long")
+    single = docs.filter(own.isNotNull()).join(gone, own == gone["gone_id_"], "left_anti")
+    again = docs.join(F.broadcast(several) if several.count() <= FEW else several, own.eqNullSafe(several["several_id_"]), "left_semi")
     digest = F.unhex(F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256))
     rows = again.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row_"), own.alias("id_"), digest.alias("digest_"), F.length(F.coalesce("text", F.lit(""))).alias("points_"))
     stay = judged.filter("kept").select(F.col("doc_id").alias("stay_id_"), F.col("digest").alias("stay_digest_")).distinct()

@@ -140,7 +140,7 @@ def with_media(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``media`` (PNG of the text's payload, 64 samples a row) and ``n_bytes``; columns of these names are replaced."""
     scratch.ship(docs.sparkSession)
     names = ["n_bytes", "media"]
-    docs = docs.drop(*[n for n in names if n in docs.columns])
+    docs = docs.drop(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in scratch.slices(batches, "text"):

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -16,8 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in an Arrow batch where the session leaves Spark's default, and bytes of text that a worker takes up at once.
-BATCH_ROWS = 1000
+#: Bytes of text that a worker takes up at once, of an Arrow batch that Spark bounds (maxBytesPerBatch, 64 MB by default).
 SLICE_BYTES = 2_000_000
 _LIVE: set[str] = set()
 _SHIPPED: set[str] = set()
@@ -79,14 +79,13 @@ def _sweep() -> None:
 
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once for each application."""
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(rows) == "10000":  # texts are long: smaller batches hold memory down on both sides
-        spark.conf.set(rows, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="lexiform-"), "lexiform.zip")
+    folder = tempfile.mkdtemp(prefix="lexiform-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "lexiform.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for at, _, names in os.walk(home):
             for n in names:

@@ -288,7 +288,7 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", with_
     scratch.ship(docs.sparkSession)
     added = ["token_ids array<int>", "decoded string"] + (["span_start array<int>", "span_end array<int>"] if with_spans else [])
     names = [a.split()[0] for a in added]
-    kept = docs.drop(*[n for n in names if n in docs.columns])
+    kept = docs.drop(*names)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

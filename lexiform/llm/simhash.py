@@ -343,4 +343,4 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     # few beside those that stay: as a table of known size they need not make the texts move
     gone = scratch.save(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id_")), "gone-ids")
     scratch.drop(found)
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id_"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id_"], "left_anti")

@@ -23,7 +23,7 @@ CUT_AT = ["規程", "規定", "協議", "紛争", "管轄", "条", "項", "号",
 SIGNATURE_HINTS = ["記名押印", "署名", "住 所", "住所", "氏名", "代表者", "委託者", "受託者"]
 ROLES = {"甲": ["甲", "委託者", "ライセンサー"], "乙": ["乙", "受託者", "ライセンシー"]}
 FORMAL = "^(株式会社|合同会社|有限会社|一般社団法人|一般財団法人|公益社団法人|公益財団法人|国立大学法人|公立大学法人|独立行政法人|学校法人|医療法人|社会福祉法人)"
-PLACEHOLDER = "^[○◯〇□●■_]{2,}$|^[○◯〇□●■_]{1,}(株式会社|合同会社|有限会社)$|^(株式会社|合同会社|有限会社)[○◯〇□●■_]{1,}$"
+PLACEHOLDER = "^[□■◻◼○◯〇]+$"
 EDGES = " 、。,:;()\\[\\]【】"
 #: Pattern with the name, role before or after it, score.
 DECLARED = [("([^\\n]{2,140}?)\\s*[(]?以下\\s*[「『]?(甲|乙)", "name_first", 1.00), ("(甲|乙)\\s*:\\s*([^\\n]{2,140})", "role_first", 0.90), ("([^\\n]{2,140}?)\\s*を\\s*(甲|乙)\\s*とし", "name_first", 0.80)]

@@ -136,7 +136,3 @@ def title(blocks: DataFrame) -> DataFrame:
     score = F.when(c.rlike("契約書$|覚書$|合意書$"), 1.0).otherwise(0.0) + F.when(n.between(4, 30), 0.3).otherwise(0.0) - F.when(c.contains("。"), 0.5).otherwise(0.0) - F.when(pr.is_article_heading(c), 0.6).otherwise(0.0)
     rows = blocks.filter("page <= 2").withColumn("score", F.round(score, 6))
     return rows.groupBy("doc_id").agg(F.max_by("norm", F.struct("score", -F.col("ord"))).alias("title"), F.max("score").alias("score"))
-
-
-def by_value(c: Column) -> Column:
-    return F.when(c.isNull() | (c == ""), "missing").otherwise("filled")

@@ -258,7 +258,7 @@ class Lookup:
     def __init__(self, keys: np.ndarray, vals: np.ndarray):
         self.tables = []
         for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9):
-            bits = max(4, int(6 * len(keys)).bit_length())
+            bits = max(4, int(3 * len(keys)).bit_length())
             factor, shift = np.uint64(factor), np.uint64(64 - bits)
             slot = (keys * factor >> shift).astype(np.int64)
             last, number = np.empty(1 << bits, np.int32), np.arange(len(keys), dtype=np.int32)
@@ -328,6 +328,7 @@ def scored(parts: DataFrame, answered: DataFrame) -> DataFrame:
                 kind, k, v = kind.as_py(), k.as_py(), v.as_py()
                 if kind == TEXT:
                     yield from texts(k, v, found)
+                    pa.default_memory_pool().release_unused()
                     found = {WINDOWS: [], WORDS: []}
                 else:
                     found[kind].append((unpack(k, np.uint64, True), unpack(v, np.float32 if kind == WINDOWS else np.float64)))

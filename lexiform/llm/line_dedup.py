@@ -103,13 +103,15 @@ def _dense(drops: Column) -> Column:
 def apply(docs: DataFrame, maps: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept): a row for each row of ``docs``, its text without the lines that ``maps`` drops."""
     rows, m = _identified(docs), maps.withColumnsRenamed({c: f"{c}_" for c in ID}).withColumn("words", _dense(F.col("drops")))
-    met = rows.join(m, rows["doc_id"].eqNullSafe(m["doc_id_"]) & (rows["t1"] == m["t1_"]) & (rows["t2"] == m["t2_"]), "left")
+    # a document has one bitmap, so those are what a task holds, and texts stream past them without a sort
+    met = rows.join(m.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(m["doc_id_"]) & (rows["t1"] == m["t1_"]) & (rows["t2"] == m["t2_"]), "left")
     lines = F.split("text", "\n")
     # shifts take six bits of their distance; beyond the last word nothing is dropped
     stays = lambda _, i: F.coalesce(F.getbit(F.get("words", (i / WORD).cast("int")), i % WORD), F.lit(0)) == 0
     kept = F.when(F.col("words").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, stays), "\n"))
     n_dropped = F.coalesce(F.aggregate("drops", F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w["bits"])), F.lit(0))
-    return met.select("doc_id", F.size(lines).cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"), kept.alias("kept"))
+    n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return met.select("doc_id", n_lines.cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"), kept.alias("kept"))
 
 
 def deduplicate(docs: DataFrame, min_docs: int = 10, keep_first: bool = False) -> DataFrame:

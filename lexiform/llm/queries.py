@@ -93,7 +93,7 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document before and after those that stand in ten documents or more have gone."""
     out = line_dedup.deduplicate(table(spark, sf_dir, "documents"), min_docs=10)
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,25 @@ RESTART_SIGNAL = "業務委託契約約款|約款本文"
 BLANK_ARTICLE = r"^\s*第[○◯〇□■]+\s*条"
 HEADING_UNITS = f"第{NUMBER}(章|節|款|編)"
 
+# Words of the clause state.
+TEMPLATE_ITEM = "信用保証協会|中小企業信用保険法施行令|資産の流動化|信託業法|譲受人|受託代金債権|民法の特例等"
+NUMBERED_HEAD = r"^\s*(\(?[0-9]{1,2}\)?|[一二三四五六七八九十]{1,2})([\s.、)]|$)"
+ITEM_ONLY = r"^\s*\(?[0-9]{1,2}\)?\s*$"
+UNTITLED = ["コメント", "解説", "ひな形", "オプション条項"]
+DEFINES = ["とは", "をいう", "以下「", "に相当する権利"]
+DEFINED_RANGE = ["規定する", "をいう", "に相当する権利", "以下「"]
+PROSE = ["は、", "は", "を", "が", "に", "ものとする", "しなければ", "できる", "場合", "とき", "による"]
+PROSE_OF_FORMS = ["は、", "を", "が", "ものとする", "しなければ", "できる", "場合", "とき"]
+PROSE_GOES_ON = "は、|を|が|に|ものとする|しなければ|できる|場合|とき|による"
+CONTINUITY = f"この場合|前項|前号|次項|次号|同項|同号|当該|第{NUMBER}項"
+SIGNED = ["記名押印", "署名欄", "押印欄", "記名"]
+SIGNED_LABELS = r"甲\s*:|乙\s*:|住所\s*:|氏名\s*:|代表者\s*:"
+SIGNED_ERA = r"^(令和|平成|昭和)[0-9○◯〇\s]*年[0-9○◯〇\s]*月[0-9○◯〇\s]*日$"
+SIGNED_HEADS = ["発注者", "受託者", "甲 ", "乙 "]
+SIGNED_BOXES = r"\[(所\s*在\s*地|氏\s*名|印)\]"
+SIGNED_TITLES = r"(理事長|代表者|代表取締役|総長).*印"
+OPEN_BODY, OPEN_NEXT = "[にへをがとではの]$", "^[をにがとではのし]"
+
 
 def alternatives(words: list[str]) -> str:
     """A pattern for any of the words."""

@@ -15,6 +15,8 @@ from lexiform.functions import vocabulary as v
 
 HEADING = f"^\\s*[「【(]?\\s*第([{tx.NUMERAL}]+)\\s*条[」】)]?\\s*(.*)$"
 APPENDIX = r"^\s*(附則|別紙|別表)\s*(.*)$"
+#: Confidence below which a boundary is doubtful.
+LOW_BOUNDARY = 0.45
 TITLE = r"^\s*[(（]([^)）]{1,40})[)）]"
 
 
@@ -125,8 +127,15 @@ def ordered(value: Column, order: str = "ord") -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v")))), lambda x: x.v)
 
 
+def evidence(blocks: DataFrame) -> Column:
+    """Where a block's text is from; engine and conf are null for blocks that come without them."""
+    return F.struct("block_id", "page", *[F.col(n) if n in blocks.columns else F.lit(None).cast(t).alias(n) for n, t in (("engine", "string"), ("conf", "double"))])
+
+
 def clauses(blocks: DataFrame) -> DataFrame:
-    """A row for each clause: clause_id, clause_no, clause_title, text, pages, block_ids, section_type, flags."""
+    """A row for each clause: clause_id, clause_no, clause_title, text, pages, block_ids, evidence, section_type, flags.
+
+    Blocks have doc_id, ord, page, norm and block_id, and engine and conf if they are known."""
     g = segmented(blocks).groupBy("doc_id", "clause_ord").agg(
         F.min_by("clause_no", "ord").alias("clause_no"),
         F.min_by("article", "ord").alias("article"),
@@ -135,7 +144,7 @@ def clauses(blocks: DataFrame) -> DataFrame:
         F.min("page").alias("page_start"),
         F.max("page").alias("page_end"),
         F.array_distinct(ordered(F.col("block_id"))).alias("block_ids"),
-        ordered(F.struct("block_id", "page", "engine", "conf")).alias("evidence"),
+        ordered(evidence(blocks)).alias("evidence"),
         F.min_by("section_type", "ord").alias("section_type"),
         F.count(F.lit(1)).alias("n_blocks"),
     )
@@ -200,7 +209,7 @@ def is_trailing(last: Column, x: Column, least: int = 20) -> Column:
 
 def is_reversed(last: Column, x: Column) -> Column:
     """A number that goes back, in a short clause with a doubtful boundary."""
-    return (last["section_type"] == x["section_type"]) & (x["article"] < last["article"]) & (F.length(tx.normalize_whitespace(x["text"])) <= 80) & (_lines(x["text"]) <= 3) & (boundary_score(last, x) < 0.45)
+    return (last["section_type"] == x["section_type"]) & (x["article"] < last["article"]) & (F.length(tx.normalize_whitespace(x["text"])) <= 80) & (_lines(x["text"]) <= 3) & (boundary_score(last, x) < LOW_BOUNDARY)
 
 
 def is_citation(last: Column, x: Column) -> Column:
@@ -215,10 +224,19 @@ def is_citation(last: Column, x: Column) -> Column:
 MERGES = {"attached_orphan_paragraph": is_orphan, "merged_trailing_fragment": is_trailing, "repaired_reversed_clause_number": is_reversed, "merged_citation_like_clause": is_citation}
 
 
+def _marked(x: Column, last: Column) -> Column:
+    same = F.coalesce(last["section_type"] == x["section_type"], F.lit(False))
+    back = same & F.coalesce(x["article"] < last["article"], F.lit(False))
+    low = same & (x["section_type"] == "main_contract") & F.coalesce(boundary_score(last, x) < LOW_BOUNDARY, F.lit(False))
+    marks = F.filter(F.array(F.when(back, "REVERSED_CLAUSE_NUMBER"), F.when(low, "LOW_BOUNDARY_CONFIDENCE")), lambda m: m.isNotNull())
+    return x.withField("flags", F.array_union(x["flags"], marks))
+
+
 def repaired(c: DataFrame, merges: list[str] | None = None) -> DataFrame:
     """Clauses after the merges, in order of MERGES: each is a fold over a document's clauses against the last one kept.
 
     Headings said twice are said once before citations are looked for. A document's clauses are few, so they are one array.
+    All merges together are followed by flags of numbers that still go back and of doubtful boundaries.
     """
     item = F.struct(F.col("clause_ord").alias("i"), "clause_no", "article", "clause_title", "section_type", "page_start", "page_end", "text", "block_ids", "flags")
     rows = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(item), lambda a, b: (a.i - b.i).cast("int")).alias("items"))
@@ -226,6 +244,9 @@ def repaired(c: DataFrame, merges: list[str] | None = None) -> DataFrame:
         if name == "merged_citation_like_clause":
             rows = rows.withColumn("items", F.transform("items", lambda x: x.withField("text", F.when(single_prefix(tx.normalize_whitespace(x.text), x.clause_no) == tx.normalize_whitespace(x.text), x.text).otherwise(single_prefix(tx.normalize_whitespace(x.text), x.clause_no)))))
         rows = rows.withColumn("items", _fold(F.col("items"), MERGES[name], name))
+    # a number that goes back and stays, and a boundary in the main text that is doubtful after all merges
+    flagged = F.transform("items", lambda x, i: _marked(x, F.get("items", i - 1)))
+    rows = rows.withColumn("items", flagged) if merges is None else rows
     return rows.select("doc_id", F.explode("items").alias("c")).select("doc_id", F.col("c.i").alias("clause_ord"), *[F.col(f"c.{n}") for n in ("clause_no", "article", "clause_title", "section_type", "page_start", "page_end", "text", "block_ids", "flags")])
 
 

@@ -40,7 +40,7 @@ def page_image_regions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_image_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return layouts.image_coverage(pages(spark, sf)).select("doc_id", F.round("coverage", 6).alias("coverage"))
+    return layouts.image_coverage(pages(spark, sf)).select("doc_id", F.round("coverage", 8).alias("coverage"))
 
 
 def recognition_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +99,7 @@ _PX = "CAST(floor(greatest(0, least({}, {})) * (220 / 72.0::DOUBLE)) AS INT)"
 SQL = {
     "page_text_blocks": "SELECT o_orderkey AS doc_id, 'p1_n001' AS block_id, concat('第', o_orderkey, '条 納品') AS text, concat('第', o_orderkey, '条 納品') AS norm, 50.0::DOUBLE AS y0 FROM orders UNION ALL SELECT o_orderkey, 'p1_n003', '乙は納品する。', '乙は納品する。', 130.0 FROM orders",
     "page_image_regions": _I + " SELECT k AS doc_id, printf('p1_img%03d', n) AS region_id, round(share, 6)::DOUBLE AS share FROM s WHERE w > 0 AND share >= 0.0015 AND NOT ((y0 + h <= 120 OR x0 + w <= 72 OR x0 >= 528) AND share < 0.006)",
-    "page_image_coverage": _I + " SELECT k AS doc_id, round(least(1, sum(share)), 6)::DOUBLE AS coverage FROM s GROUP BY k",
+    "page_image_coverage": _I + " SELECT k AS doc_id, round(least(1.0::DOUBLE, sum(w * h)::DOUBLE / 480000), 8) AS coverage FROM s GROUP BY k",
     "recognition_requests": f"WITH r AS (SELECT o_orderkey AS doc_id, unnest([0, 1, 2]) AS i FROM orders WHERE o_orderkey % 3 > 0), b AS (SELECT *, ((doc_id * 7) % 500 + i * 70)::DOUBLE AS x FROM r), p AS (SELECT doc_id, i, {_PX.format('x', 600)} AS x0, {_PX.format('x + 33.3::DOUBLE', 600)} AS x1, {_PX.format(830, 800)} AS y1 FROM b) SELECT doc_id, count(*) FILTER (x1 > x0)::INT AS crops, arg_min(x0, i) FILTER (x1 > x0) AS x0, arg_max(x1, i) FILTER (x1 > x0) AS x1, max(y1) AS y1, coalesce(string_agg(concat('r', i), ',' ORDER BY i) FILTER (x1 <= x0), '') AS failed FROM p GROUP BY doc_id",
     "recognised_lines": "SELECT o_orderkey AS doc_id, 1 AS line, concat('文字', o_orderkey) AS text, 1.0::DOUBLE AS confidence FROM orders WHERE o_orderkey % 5 < 2 UNION ALL SELECT o_orderkey, 2, concat('文字', o_orderkey + 1), 0.5 FROM orders WHERE o_orderkey % 5 < 2",
     "labelled_order": "WITH b AS (SELECT o_orderkey AS doc_id, unnest([{'h': 0, 'x': 60, 'y': 50}, {'h': 1, 'x': o_orderkey % 500, 'y': o_orderkey % 700}, {'h': 2, 'x': 60, 'y': 90}, {'h': 3, 'x': 560, 'y': 300}, {'h': 4, 'x': 60, 'y': 130}, {'h': 5, 'x': 100, 'y': 400}]) AS b FROM orders) SELECT doc_id, b.h::INT AS hint, row_number() OVER (PARTITION BY doc_id ORDER BY b.y, b.x, b.h)::INT AS reading_order FROM b",

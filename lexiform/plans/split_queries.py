@@ -111,7 +111,8 @@ def _merges(names: list[str]) -> str:
 _one = lambda name: _merges([name]) + " SELECT doc_id, clause_ord, len(string_split(blocks, ','))::INT AS merged, flags FROM z1"
 _MARKED = f"regexp_replace(regexp_replace(norm, '([。.:;)\\]】]\\s?)(第{_N}条)', '\\1\x1f\\2', 'g'), '\x1f(第{_N}条\\s*{v.CITATION_TAIL})', '\\1', 'g')"
 SQL = {
-    "clause_post_merge": _merges(list(_HOLDS)) + " SELECT doc_id, clause_ord, clause_no, page_end, text, blocks, flags FROM z4",
+    "clause_post_merge": _merges(list(_HOLDS))
+    + f", z5 AS (SELECT *, {_FLAT} AS flat, lag(article) OVER w AS ha, lag(section_type) OVER w AS hs, lag(page_end) OVER w AS hp FROM z4 WINDOW w AS (PARTITION BY doc_id ORDER BY clause_ord)) SELECT doc_id, clause_ord, clause_no, page_end, text, blocks, concat_ws(',', nullif(flags, ''), CASE WHEN hs = section_type AND article < ha THEN 'REVERSED_CLAUSE_NUMBER' END, CASE WHEN hs = section_type AND section_type = 'main_contract' AND round({_SCORE.replace('r.', '').replace('f.', '')}, 6) < 0.45 THEN 'LOW_BOUNDARY_CONFIDENCE' END) AS flags FROM z5",
     "orphan_paragraphs": _one("attached_orphan_paragraph"),
     "trailing_fragments": _one("merged_trailing_fragment"),
     "reversed_numbers": _one("repaired_reversed_clause_number"),

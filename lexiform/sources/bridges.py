@@ -8,6 +8,8 @@ union, in SQL that other engines can run too, so that results can be compared.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,7 +114,7 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, status, nation, y, m, d, party_a, party_b, n, rows (line items in order): a row for each order."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), F.day("o_orderdate").alias("d"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.concat(F.lit("株式会社"), F.replace("c_name", F.lit("#"), F.lit(""))).alias("party_a"))
-    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax")
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_suppkey").alias("s"), F.sort_array(F.collect_list(item)).alias("rows"))
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     made = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(items, "k", "left").join(suppliers, F.col("s") == F.col("s_suppkey"), "left")
@@ -139,3 +141,78 @@ def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     x1 = 20.0 + F.least(F.lit(560), F.length("text") * 7)
     bbox = F.struct(F.lit(20.0).alias("x0"), y0.alias("y0"), x1.cast("double").alias("x1"), (y0 + 16).alias("y1"))
     return rows.select("doc_id", "ord", (F.floor(F.col("ord") / LINES_A_PAGE) + 1).cast("int").alias("page"), "text", tx.normalize_whitespace(F.col("text")).alias("norm"), bbox.alias("bbox"))
+
+
+#: Blocks of a rough contract, as scans leave them: what a line item or an order has in its columns decides which there are and
+#: what they say. Each is (place, text, type, searchable, condition); texts and conditions are SQL that engines share, over
+#: n (the item's turn), q, disc, tax, flag, stat, y, m, d, and for the contract's own k, n (of all items), prio, seg, nation.
+_ROUGH_HEAD = [
+    ("1", "concat(CASE seg WHEN 'BUILDING' THEN '業務委託契約書' WHEN 'MACHINERY' THEN '売買基本契約書' WHEN 'HOUSEHOLD' THEN '秘密保持契約書' ELSE 'ライセンス契約書' END)", "text", "true", "true"),
+    ("2", "concat(party_a, '(以下「甲」という。)と', party_b, '(以下「乙」という。)は次のとおり契約を締結する。')", "text", "true", "true"),
+]
+_ROUGH_ITEM = [
+    ("1", "concat('(検収', CAST(CAST(q AS INT) AS VARCHAR(9)), ')')", "text", "true", "tax >= 0.06"),
+    ("2", "CASE flag WHEN 'N' THEN concat('第', n, '条(納品)') WHEN 'R' THEN concat('第', n, '条') ELSE concat('第', n, '条 乙は、数量', CAST(q AS INT), 'を甲に納入するものとする。') END", "text", "true", "true"),
+    ("3", "'(数量の定め)'", "text", "true", "flag = 'R' AND stat = 'O'"),
+    ("4", "concat('乙は、', y, '年', m, '月', d, '日までに数量', CAST(q AS INT), 'を甲に納入する。', CASE WHEN disc >= 0.08 THEN concat('民法第', CAST(q AS INT), '条第2項に基づき通知する。') WHEN disc >= 0.06 THEN concat('検収を行う。第', n + 1, '条 甲は、代金を支払うものとする。') ELSE '' END)", "text", "true", "true"),
+    ("5", "concat('第', 100 + CAST(q AS INT), '条または民法の特例に定める要件に従う。')", "text", "true", "CAST(q AS INT) % 10 = 3"),
+    ("6", "concat('の', CAST(q AS INT), '日後とする。')", "text", "true", "CAST(q AS INT) % 7 = 0"),
+    ("7", "concat(n, '/9')", "footer", "true", "tax BETWEEN 0.025 AND 0.035"),
+    ("8", "'第1条 短い。'", "other", "false", "q > 46"),
+    ("9", "'2 乙は、請求書を甲に提出しなければならない。'", "text", "true", "CAST(q AS INT) % 6 = 1"),
+    ("10", "'乙は、通知書により甲に報告するものとし'", "text", "true", "CAST(q AS INT) % 6 = 2"),
+    ("11", "CASE WHEN stat = 'O' THEN 'この場合、甲は、乙に対し理由を求めることができる。' ELSE '様式第2号 届出書' END", "text", "true", "CAST(q AS INT) % 6 = 2"),
+    ("12", "'本件成果物とは、次のものをいう。'", "text", "true", "CAST(q AS INT) % 11 = 4"),
+    ("13", "'第2条から第5条までに規定する権利をいう。'", "text", "true", "CAST(q AS INT) % 11 = 4"),
+    ("14", "'[A1]'", "text", "true", "disc < 0.01"),
+    ("15", "'3 乙は、甲の住所に'", "signature_area", "false", "CAST(q AS INT) % 13 = 5"),
+    ("16", "'をもって送付先とする。'", "text", "true", "CAST(q AS INT) % 13 = 5"),
+]
+_ROUGH_TAIL = [
+    ("1", "'業務委託契約約款'", "text", "true", "prio = '1-URGENT'"),
+    ("2", "'第1条 総則を定める条項であるものとする。'", "text", "true", "prio = '1-URGENT'"),
+    ("3", "'第2条 乙は、誠実に履行するものとする。'", "text", "true", "prio = '1-URGENT'"),
+    ("4", "'別紙1 仕様書'", "text", "true", "prio IN ('1-URGENT', '2-HIGH')"),
+    ("5", "'様式第1号 請求書'", "text", "true", "prio = '2-HIGH'"),
+    ("6", "'記載要領 1. 記入方法'", "text", "true", "prio = '2-HIGH'"),
+    ("7", "'特記事項'", "text", "true", "prio = '4-NOT SPECIFIED'"),
+    ("8", "'甲は、乙の秘密を保持するものとする。'", "text", "true", "prio = '4-NOT SPECIFIED'"),
+    ("9", "'上記契約の成立を証するため、次に記名押印する。'", "signature_area", "true", "true"),
+    ("10", "'する。'", "other", "false", "nation % 2 = 0"),
+    ("11", "concat('令和○○年○○月○○日')", "text", "true", "nation % 3 > 0"),
+    ("12", "concat('甲 ', party_a, ' 代表者 印')", "text", "true", "true"),
+    ("13", "'(必要に応じて追加)'", "text", "true", "prio = '3-MEDIUM'"),
+    ("14", "'第○条 受託者は、受託代金債権を譲渡することができる。'", "text", "true", "prio = '3-MEDIUM'"),
+    ("15", "'一 信用保証協会'", "other", "false", "prio = '3-MEDIUM'"),
+    ("16", "'2 受託者は、譲受人との契約に条件を付さなければならない。'", "text", "true", "prio = '3-MEDIUM' AND nation % 2 = 1"),
+    ("17", "'協議により定める。'", "text", "true", "prio = '3-MEDIUM' AND nation % 4 = 1"),
+]
+#: For comparison: doc_id, ord, page, norm, block_type, searchable.
+ROUGH = (
+    CONTRACTS[: CONTRACTS.index("blocks AS (")]
+    + "pi AS (SELECT p.*, o_orderpriority AS prio, c_mktsegment AS seg FROM p JOIN orders ON o_orderkey = k JOIN customer ON c_custkey = o_custkey), ri AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_discount, l_tax) AS n, l_quantity AS q, l_discount AS disc, l_tax AS tax, l_returnflag AS flag, l_linestatus AS stat, year(l_shipdate) AS y, month(l_shipdate) AS m, day(l_shipdate) AS d FROM lineitem), rough AS ("
+    + " UNION ALL ".join(
+        [f"SELECT k AS doc_id, {o} AS ord, 1 AS page, {t} AS norm, '{b}' AS block_type, {s} AS searchable FROM pi WHERE {w}" for o, t, b, s, w in _ROUGH_HEAD]
+        + [f"SELECT k, 100 * n + {o}, 1 + CAST(floor(n / 3) AS INT), {t}, '{b}', {s} FROM ri WHERE {w}" for o, t, b, s, w in _ROUGH_ITEM]
+        + [f"SELECT k, 100000 + {o}, 90, {t}, '{b}', {s} FROM pi WHERE {w}" for o, t, b, s, w in _ROUGH_TAIL]
+    )
+    + ")"
+)
+
+
+def rough_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, ord, page, norm, block_type, searchable, block_id: a rough contract for each order, in one pass."""
+
+    def block(ord_: str, page: str, text: str, kind: str, searchable: str, where: str) -> str:
+        return f"if({where}, named_struct('ord', CAST({ord_} AS INT), 'page', CAST({page} AS INT), 'norm', {text}, 'block_type', '{kind}', 'searchable', {searchable}), NULL)"
+
+    made = contracts(spark, sf_dir)
+    more = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("prio"), F.col("c_mktsegment").alias("seg"))
+    flagged = F.expr("transform(coalesce(rows, array()), (r, j) -> named_struct('n', j + 1, 'q', r.l_quantity, 'disc', r.l_discount, 'tax', r.l_tax, 'flag', r.l_returnflag, 'stat', r.l_linestatus, 'y', year(r.l_shipdate), 'm', month(r.l_shipdate), 'd', day(r.l_shipdate)))")
+    made = made.join(more, "k").withColumn("items", flagged)
+    fields = re.compile(r"\b(n|q|disc|tax|flag|stat|y|m|d)\b(?![^']*'(?:[^']*'[^']*')*[^']*$)")
+    of_item = lambda text: fields.sub(r"r.\1", text)
+    item = [block(f"100 * r.n + {o}", "1 + floor(r.n / 3)", of_item(t), b, s, of_item(w)) for o, t, b, s, w in _ROUGH_ITEM]
+    whole = f"concat(array({', '.join(block(o, '1', t, b, s, w) for o, t, b, s, w in _ROUGH_HEAD)}), flatten(transform(items, r -> array({', '.join(item)}))), array({', '.join(block(f'100000 + {o}', '90', t, b, s, w) for o, t, b, s, w in _ROUGH_TAIL)}))"
+    rows = made.select(F.col("k").alias("doc_id"), F.inline(F.expr(f"filter({whole}, b -> b IS NOT NULL)")))
+    return rows.withColumn("block_id", F.format_string("p%d_b%05d", "page", "ord"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE = "path string, page int, width double, height double, block_id string, block_type int, text string, x0 double, y0 double, x1 double, y1 double, error string"
@@ -42,14 +42,13 @@ def inventory(spark: SparkSession, path: str, schema: str | None = None) -> Data
 
 def first_file_wins(rows: DataFrame, key: str, path: str = "path") -> DataFrame:
     """Of rows with the same key the one of the first path."""
-    w = Window.partitionBy(key).orderBy(path)
-    return rows.withColumn("turn_", F.row_number().over(w)).filter("turn_ = 1").drop("turn_")
+    return rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), path).alias("row_")).select("row_.*")
 
 
 def listed(spark: SparkSession, names: list[str], found: DataFrame) -> DataFrame:
     """Wanted names with the path where they were found; the others are skipped_missing."""
     wanted = spark.createDataFrame([(n,) for n in names], "name string")
-    return wanted.join(F.broadcast(found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "path")), "name", "left").withColumn("status", F.when(F.col("path").isNull(), "skipped_missing").otherwise("found"))
+    return wanted.join(found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "path"), "name", "left").withColumn("status", F.when(F.col("path").isNull(), "skipped_missing").otherwise("found"))
 
 
 def pages(rows: DataFrame, engine: Callable[[str, bytes], Iterator[dict]]) -> DataFrame:

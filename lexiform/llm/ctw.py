@@ -38,6 +38,8 @@ TOP = 3
 END = b"\n"
 LEAD = END * DEPTH
 CHUNK_BYTES = 32_000_000
+#: Text that a shard is planned for, and windows of a row of its table: cells stay far below what Arrow and the JVM can hold.
+SHARD_BYTES, PIECE = 64_000_000, 2_000_000
 #: Windows that wait to be added up.
 PENDING = 1_500_000
 WINDOWS, WORDS, TEXT = 0, 1, 2
@@ -190,7 +192,7 @@ _MERGED = "shard int, kind tinyint, keys binary, vals binary, total long, many l
 
 
 def merge(parts: DataFrame, shards: int) -> DataFrame:
-    """Step 2: sums of a shard, and of its windows what the upper depths need."""
+    """Step 2: sums of a shard, in rows of PIECE keys, and in the first of them what the upper depths need of its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], _Sums] = {}
@@ -206,7 +208,9 @@ def merge(parts: DataFrame, shards: int) -> DataFrame:
                 short = tree.keys[TOP]
                 pairs, n = merged((short >> np.uint64(16) << np.uint64(8)) | (short & np.uint64(255)), tree.counts[TOP])
                 upper = [pack(names, True), weights.tobytes(), pack(pairs, True), pack(n.astype(np.uint64))]
-            yield _rows([n.split()[0] for n in _MERGED.split(", ")], [(s, kind, pack(keys, True), pack(counts.astype(np.uint64)), int(counts.sum()), int((counts > 0).sum()), *upper)])
+            for at in range(0, max(len(keys), 1), PIECE):
+                k, c = keys[at : at + PIECE], counts[at : at + PIECE]
+                yield _rows([n.split()[0] for n in _MERGED.split(", ")], [(s, kind, pack(k, True), pack(c.astype(np.uint64)), int(c.sum()), int((c > 0).sum()), *(upper if at == 0 else [None] * 4))])
 
     return parts.filter(F.col("kind") < TEXT).select("shard", "kind", "keys", "vals").repartitionById(shards, "shard").mapInArrow(run, _MERGED)
 
@@ -220,7 +224,7 @@ def upper(sums: DataFrame) -> tuple[np.ndarray, ...] | None:
                 for kind, k, v in ((0, unpack(names, np.uint64, True), np.frombuffer(weights)), (1, unpack(pairs, np.uint64, True), unpack(counts, np.uint64).astype(np.float64))):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k.view(np.int64)), pa.array(v)], names=["kind", "name", "v"])
 
-    rows = sums.filter(F.col("kind") == WINDOWS).select("roots", "weights", "pairs", "counts").mapInArrow(run, "kind tinyint, name long, v double")
+    rows = sums.filter((F.col("kind") == WINDOWS) & F.col("roots").isNotNull()).select("roots", "weights", "pairs", "counts").mapInArrow(run, "kind tinyint, name long, v double")
     got = rows.groupBy("kind", "name").agg(F.sum("v").alias("v")).toArrow()
     kind, name, v = (got.column(n).to_numpy() for n in ("kind", "name", "v"))
     if not len(name):
@@ -237,14 +241,23 @@ def answers(parts: DataFrame, sums: DataFrame, states: tuple[np.ndarray, ...] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        pieces: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def table(of: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+            """A shard's keys and their answers, made when the first chunk asks; its rows have all come by then."""
+            if of not in tables:
+                parts = sorted(pieces.pop(of), key=lambda p: int(p[0][0]) if len(p[0]) else 0)
+                keys, counts = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts, strict=True))
+                tables[of] = keys, (Subtree(keys, counts, TOP, DEPTH).logs(shared.value).astype(np.float32) if of[1] == WINDOWS else counts.astype(np.float64))
+            return tables[of]
+
         for b in batches:
             for first, chunk, s, kind, k, v in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
                 keys = unpack(k, np.uint64, True)
                 if first == 0:
-                    counts = unpack(v, np.uint64).astype(np.int64)
-                    tables[s, kind] = keys, (Subtree(keys, counts, TOP, DEPTH).logs(shared.value) if kind == WINDOWS else counts.astype(np.float64)).astype(np.float32 if kind == WINDOWS else np.float64)
+                    pieces.setdefault((s, kind), []).append((keys, unpack(v, np.uint64).astype(np.int64)))
                 else:
-                    at, vals = tables[s, kind]
+                    at, vals = table((s, kind))
                     yield _rows(["chunk", "shard", "kind", "keys", "vals"], [(chunk, s, kind, k, pack(vals[np.searchsorted(at, keys)]))])
 
     old = parts.filter(F.col("kind") < TEXT).select(F.lit(1).alias("first"), "chunk", "shard", "kind", "keys", F.lit(None).cast("binary").alias("vals"))
@@ -346,7 +359,9 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     probability 1/256 and every token the base probability 1.
     """
     scratch.ship(docs.sparkSession)
-    shards = scratch.partitions(docs)
+    # the corpus decides how many shards there are, as a shard's table stands in one task's memory
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    shards = max(scratch.partitions(docs), -(-size // SHARD_BYTES))
     parts = scratch.save(chunks(docs, shards, chunk_bytes), "ctw-chunks")
     sums = scratch.save(merge(parts, shards), "ctw-sums")
     words = sums.filter(F.col("kind") == WORDS).agg(F.sum("total").alias("n"), F.sum("many").alias("v")).first()

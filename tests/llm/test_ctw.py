@@ -126,3 +126,13 @@ def test_large_counts_follow_the_gamma_function():
 def test_held_out_documents_are_better_than_by_the_base(spark, sf_dir):
     r = op7_ctw(spark, sf_dir.replace("0.001", "0.1")).filter("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert r.s > r.b
+
+
+def test_rows_and_shards_of_any_size_give_the_same_scores(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 40")
+    cols = ["doc_id", "score", "base_score", "n_known"]
+    whole = sorted(tuple(r) for r in ctw.score(docs).select(*cols).collect())
+    monkeypatch.setattr(ctw, "PIECE", 500)
+    monkeypatch.setattr(ctw, "SHARD_BYTES", 5_000)
+    parts = sorted(tuple(r) for r in ctw.score(docs, chunk_bytes=20_000).select(*cols).collect())
+    assert [r[0] for r in parts] == [r[0] for r in whole] and all(a == pytest.approx(b, rel=1e-6) for x, y in zip(parts, whole, strict=True) for a, b in zip(x, y, strict=True))

@@ -70,6 +70,14 @@ SIGNED_BOXES = r"\[(所\s*在\s*地|氏\s*名|印)\]"
 SIGNED_TITLES = r"(理事長|代表者|代表取締役|総長).*印"
 OPEN_BODY, OPEN_NEXT = "[にへをがとではの]$", "^[をにがとではのし]"
 
+# Words that open scopes of laws and courts.
+LAW_HEADINGS = ["準拠法", "適用法", "準拠法等", "管轄及び準拠法", "裁判管轄及び準拠法"]
+LAWS_OF_JAPAN = ["日本法", "日本国法"]
+LAW_TRIGGERS = [*LAW_HEADINGS, *LAWS_OF_JAPAN, "適用する", "よる", "成立", "効力", "履行", "解釈", "紛争には"]
+COURT_TRIGGERS = ["裁判所", "管轄", "合意管轄", "第一審", "紛争", "訴え"]
+COURT_HEADINGS = ["管轄", "裁判所", "合意管轄", "第一審"]
+OTHER_SECTIONS = ["appendix", "form", "instruction", "signature"]
+
 
 def alternatives(words: list[str]) -> str:
     """A pattern for any of the words."""

@@ -169,6 +169,13 @@ _ROUGH_ITEM = [
     ("16", "'をもって送付先とする。'", "text", "true", "CAST(q AS INT) % 13 = 5"),
 ]
 _ROUGH_TAIL = [
+    ("-9", "concat('第', n + 1, '条(準拠法)')", "text", "true", "status <> 'P'"),
+    ("-8", "CASE WHEN status = 'F' THEN '本契約の成立、効力、履行及び解釈については、' ELSE '本契約は、' END", "text", "true", "status <> 'P'"),
+    ("-7", "CASE WHEN nation % 4 = 0 THEN '日本国法に準拠するものとする。' ELSE '日本法による。' END", "other", "true", "status <> 'P'"),
+    ("-6", "concat('第', n + 2, '条(合意管轄)')", "text", "true", "true"),
+    ("-5", "CASE nation % 5 WHEN 0 THEN '本契約に関する紛争は、東京地方裁判所を第一審の専属的合意管轄裁判所とする。' WHEN 1 THEN '訴えは、大阪簡易裁判所を' WHEN 2 THEN '本契約に関する紛争は、名古屋地方裁判所を管轄裁判所とする。' WHEN 3 THEN '紛争は、甲の本店所在地を管轄する裁判所で解決する。' ELSE '甲乙は、誠意をもって協議する。' END", "text", "true", "true"),
+    ("-4", "'第一審の専属的合意管轄裁判所とする。'", "text", "true", "nation % 5 = 1"),
+    ("-3", "'This Agreement shall be governed by and construed in accordance with the laws of Japan.'", "text", "true", "seg = 'AUTOMOBILE' AND status = 'P'"),
     ("1", "'業務委託契約約款'", "text", "true", "prio = '1-URGENT'"),
     ("2", "'第1条 総則を定める条項であるものとする。'", "text", "true", "prio = '1-URGENT'"),
     ("3", "'第2条 乙は、誠実に履行するものとする。'", "text", "true", "prio = '1-URGENT'"),
@@ -187,6 +194,13 @@ _ROUGH_TAIL = [
     ("16", "'2 受託者は、譲受人との契約に条件を付さなければならない。'", "text", "true", "prio = '3-MEDIUM' AND nation % 2 = 1"),
     ("17", "'協議により定める。'", "text", "true", "prio = '3-MEDIUM' AND nation % 4 = 1"),
 ]
+#: Where a rough block stands: portable SQL.
+ROUGH_BOX = {
+    "x0": "CASE WHEN block_type = 'text' THEN 60 ELSE 260 END",
+    "y0": "ord % 1000 * 8",
+    "x1": "CASE WHEN block_type = 'text' THEN 60 ELSE 260 END + least(480, length(norm) * 8)",
+    "y1": "ord % 1000 * 8 + 16",
+}
 #: For comparison: doc_id, ord, page, norm, block_type, searchable.
 ROUGH = (
     CONTRACTS[: CONTRACTS.index("blocks AS (")]
@@ -194,14 +208,14 @@ ROUGH = (
     + " UNION ALL ".join(
         [f"SELECT k AS doc_id, {o} AS ord, 1 AS page, {t} AS norm, '{b}' AS block_type, {s} AS searchable FROM pi WHERE {w}" for o, t, b, s, w in _ROUGH_HEAD]
         + [f"SELECT k, 100 * n + {o}, 1 + CAST(floor(n / 3) AS INT), {t}, '{b}', {s} FROM ri WHERE {w}" for o, t, b, s, w in _ROUGH_ITEM]
-        + [f"SELECT k, 100000 + {o}, 90, {t}, '{b}', {s} FROM pi WHERE {w}" for o, t, b, s, w in _ROUGH_TAIL]
+        + [f"SELECT k, 100000 + {o}, {89 if int(o) < 0 else 90}, {t}, '{b}', {s} FROM pi WHERE {w}" for o, t, b, s, w in _ROUGH_TAIL]
     )
     + ")"
 )
 
 
 def rough_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, ord, page, norm, block_type, searchable, block_id: a rough contract for each order, in one pass."""
+    """doc_id, ord, page, norm, compact, block_type, searchable, block_id, bbox: a rough contract for each order, in one pass."""
 
     def block(ord_: str, page: str, text: str, kind: str, searchable: str, where: str) -> str:
         return f"if({where}, named_struct('ord', CAST({ord_} AS INT), 'page', CAST({page} AS INT), 'norm', {text}, 'block_type', '{kind}', 'searchable', {searchable}), NULL)"
@@ -213,6 +227,6 @@ def rough_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = re.compile(r"\b(n|q|disc|tax|flag|stat|y|m|d)\b(?![^']*'(?:[^']*'[^']*')*[^']*$)")
     of_item = lambda text: fields.sub(r"r.\1", text)
     item = [block(f"100 * r.n + {o}", "1 + floor(r.n / 3)", of_item(t), b, s, of_item(w)) for o, t, b, s, w in _ROUGH_ITEM]
-    whole = f"concat(array({', '.join(block(o, '1', t, b, s, w) for o, t, b, s, w in _ROUGH_HEAD)}), flatten(transform(items, r -> array({', '.join(item)}))), array({', '.join(block(f'100000 + {o}', '90', t, b, s, w) for o, t, b, s, w in _ROUGH_TAIL)}))"
+    whole = f"concat(array({', '.join(block(o, '1', t, b, s, w) for o, t, b, s, w in _ROUGH_HEAD)}), flatten(transform(items, r -> array({', '.join(item)}))), array({', '.join(block(f'100000 + {o}', '89' if int(o) < 0 else '90', t, b, s, w) for o, t, b, s, w in _ROUGH_TAIL)}))"
     rows = made.select(F.col("k").alias("doc_id"), F.inline(F.expr(f"filter({whole}, b -> b IS NOT NULL)")))
-    return rows.withColumn("block_id", F.format_string("p%d_b%05d", "page", "ord"))
+    return rows.withColumn("block_id", F.format_string("p%d_b%05d", "page", "ord")).withColumn("compact", tx.compact(F.col("norm"))).withColumn("bbox", F.struct(*[F.expr(f"CAST({e} AS DOUBLE)").alias(c) for c, e in ROUGH_BOX.items()]))

@@ -37,7 +37,7 @@ DEPTH = 6
 TOP = 3
 END = b"\n"
 LEAD = END * DEPTH
-CHUNK_BYTES = 32_000_000
+CHUNK_BYTES = 20_000_000
 #: Text that a shard is planned for, and windows of a row of its table: cells stay far below what Arrow and the JVM can hold.
 SHARD_BYTES, PIECE = 64_000_000, 2_000_000
 #: Windows that wait to be added up.
@@ -86,26 +86,50 @@ def unpack(b: bytes, kind: type, ordered: bool = False) -> np.ndarray:
     return np.cumsum(x, dtype=kind) if ordered else x
 
 
+def _union(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of both with their counts added up; those of ``a`` may be changed."""
+    (keys, counts), (more, n) = a, b
+    at = np.searchsorted(keys, more)
+    met = at < len(keys)
+    met[met] = keys[at[met]] == more[met]
+    counts[at[met]] += n[met]
+    at, more, n = at[~met], more[~met], n[~met]
+    if not len(more):
+        return keys, counts
+    at += np.arange(len(at))
+    old = np.ones(len(keys) + len(more), bool)
+    old[at] = False
+    out = []
+    for x, y in ((keys, more), (counts, n)):
+        z = np.empty(len(old), x.dtype)
+        z[at], z[old] = y, x
+        out.append(z)
+    return out[0], out[1]
+
+
 class _Sums:
-    """Distinct keys with counts, added up whenever many wait."""
+    """Distinct keys with counts; what waits is added up when it is much, beside what is held."""
 
-    def __init__(self) -> None:
+    def __init__(self, kind: type = np.int64) -> None:
+        self.held = np.zeros(0, np.uint64), np.zeros(0, kind)
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.waiting = self.held = 0
+        self.waiting = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.parts.append((keys, counts))
         self.waiting += len(keys)
-        if self.waiting > max(PENDING, self.held):
-            self.parts = [self.whole()]
-            self.held, self.waiting = len(self.parts[0][0]), 0
+        if self.waiting > max(PENDING, len(self.held[0]) // 4):
+            self._settle()
+
+    def _settle(self) -> None:
+        keys, counts = merged(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts])) if len(self.parts) > 1 else self.parts[0]
+        self.parts, self.waiting = [], 0
+        self.held = _union(self.held, (keys, counts.astype(self.held[1].dtype)))
 
     def whole(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.parts) == 1:
-            return self.parts[0]
-        if not self.parts:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return merged(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
+        if self.parts:
+            self._settle()
+        return self.held
 
 
 def _distinct(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +144,26 @@ def _shards(keys: np.ndarray, kind: int, shards: int) -> np.ndarray:
     return ((part * _MIX >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
 
 
+def _by_shard(keys: np.ndarray, counts: np.ndarray, kind: int, shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Sorted keys with their counts by shard. Windows of one shard are whole runs of them, which are cut out as they are."""
+    if kind == WINDOWS:
+        top = keys >> np.uint64(8 * (DEPTH + 1 - TOP))
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), top[1:] != top[:-1]]))
+        del top
+    else:
+        first = np.arange(len(keys))
+    where, ends = _shards(keys[first], kind, shards), np.append(first[1:], len(keys))
+    by = np.argsort(where, kind="stable")
+    cuts = np.searchsorted(where[by], np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(cuts)):
+        runs = by[cuts[s] : cuts[s + 1]]
+        if kind == WINDOWS:
+            pairs = [slice(a, b) for a, b in zip(first[runs].tolist(), ends[runs].tolist(), strict=True)]
+            yield int(s), np.concatenate([keys[r] for r in pairs]), np.concatenate([counts[r] for r in pairs])
+        else:
+            yield int(s), keys[runs], counts[runs]
+
+
 _CHUNKS = "chunk long, shard int, kind tinyint, keys binary, vals binary"
 
 
@@ -136,7 +180,7 @@ def chunks(docs: DataFrame, shards: int, chunk_bytes: int = CHUNK_BYTES) -> Data
         names = ["chunk", "shard", "kind", "keys", "vals"]
 
         def out(forms: list[bytes], learn: list[bool], ids: list[int | None], words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-            sums = _Sums()
+            sums = _Sums(np.uint32)  # a chunk is less than 4 GB
             for wanted in (True, False):
                 waiting: list[np.ndarray] = []
                 texts = [f for f, w in zip(forms, learn, strict=True) if w == wanted]
@@ -153,13 +197,9 @@ def chunks(docs: DataFrame, shards: int, chunk_bytes: int = CHUNK_BYTES) -> Data
             at = _word_keys(known)
             order = np.argsort(at)
             for kind, keys, counts in ((WINDOWS, *sums.whole()), (WORDS, at[order], np.fromiter(words.values(), np.int64, len(words))[order])):
-                where = _shards(keys, kind, shards)
-                by = np.argsort(where, kind="stable")
-                keys, counts = keys[by], counts[by]
-                cuts = np.searchsorted(where[by], np.arange(shards + 1))
-                for s in np.flatnonzero(np.diff(cuts)):
-                    part = slice(cuts[s], cuts[s + 1])
-                    yield _rows(names, [(number, int(s), kind, pack(keys[part], True), pack(counts[part].astype(np.uint64)))])
+                for s, k, c in _by_shard(keys, counts, kind, shards):
+                    yield _rows(names, [(number, s, kind, pack(k, True), pack(c.astype(np.uint64)))])
+            del sums
             numbers = np.array([i or 0 for i in ids], np.int64).tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
             yield _rows(names, [(number, 0, TEXT, zstandard.compress(b"".join(forms), 3), numbers)])
 

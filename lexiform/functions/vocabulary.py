@@ -78,6 +78,14 @@ COURT_TRIGGERS = ["裁判所", "管轄", "合意管轄", "第一審", "紛争",
 COURT_HEADINGS = ["管轄", "裁判所", "合意管轄", "第一審"]
 OTHER_SECTIONS = ["appendix", "form", "instruction", "signature"]
 
+# Words of merged candidates.
+ENTITY_TYPES = ["株式会社", "合同会社", "有限会社", "公益財団法人", "一般社団法人", "国立大学法人", "学校法人"]
+RECOGNISED_LEGAL = ["契約", "条", "法", "裁判所", "甲", "乙", "株式会社", "日本法", "契約締結日", "法人", "大学", "研究所"]
+BODY_MARKS = ["契約", "条", "法", "裁判所", "甲", "乙", "株式会社", "合意", "準拠", "適用法", "日本法", "契約締結日", "法人", "大学", "研究所"]
+ZERO_PERIOD = r"[0Oo]+\s*(日間?|週間?|か月|ヶ月|ヵ月|年(間)?)"
+REPEAT_HEAD = r"^\s*([にをがでとへ]|この|その|または|又は|及び|並びに|[ぁ-ん])"
+REPEAT_NUMBER = r"^\s*\(?[0-9一二三四五六七八九十]+\)?([).、\s]|$)"
+
 
 def alternatives(words: list[str]) -> str:
     """A pattern for any of the words."""

@@ -14,7 +14,7 @@ from lexiform.functions import predicates as pr
 
 DATE = r"((?:令和\s*(?:元|\d{1,2})|\d{4})\s*年\s*\d{1,2}\s*月\s*\d{1,2}\s*日)"
 COURT = r"([\p{IsHan}]{2,4}?(?:地方|簡易|家庭|高等)裁判所)"
-#: field, pattern with one group, confidence, reason.
+#: field, pattern with one group (of the text without blanks; with them if it is in English), confidence, reason.
 RULES = [
     ("effective_date", f"{DATE}から", 0.90, "period_start"),
     ("effective_date", f"{DATE}に発効", 0.92, "takes_effect"),
@@ -23,6 +23,7 @@ RULES = [
     ("expiration_date", f"{DATE}に終了", 0.92, "ends"),
     ("governing_law", "準拠法は([^。]{1,12}?法)と", 0.93, "named_law"),
     ("governing_law", "(日本)国の法令に準拠", 0.88, "law_of_country"),
+    ("governing_law", r"(?i)governed by(?: and construed in accordance with)? the laws of (?:the )?([A-Za-z]{2,40}(?: [A-Z][a-z]{1,40})?)", 0.90, "english_law"),
     ("jurisdiction", f"、{COURT}を(?:第一審の)?(?:専属的)?(?:合意)?管轄裁判所", 0.92, "agreed_court"),
     ("party_a", "^(.{2,40}?)[(（]以下「甲」", 0.90, "role_declared"),
     ("party_b", "[)）]と(.{2,40}?)[(（]以下「乙」", 0.90, "role_declared"),
@@ -42,8 +43,8 @@ def candidates(blocks: DataFrame) -> DataFrame:
     """doc_id, field, value, confidence, score, reason, block_id, ord. One pass over the blocks: every rule is a column."""
     made = []
     for field, pattern, confidence, reason in RULES:
-        raw = F.nullif(F.regexp_extract("compact", pattern, 1), F.lit(""))
-        value = F.coalesce(dates.iso_date(raw), raw) if field in DATES else F.when(raw == "日本", "日本法").otherwise(raw) if field == "governing_law" else raw
+        raw = F.nullif(F.regexp_extract("norm" if pattern.startswith("(?i)") else "compact", pattern, 1), F.lit(""))
+        value = F.coalesce(dates.iso_date(raw), raw) if field in DATES else F.when(F.lower(raw).isin("日本", "japan"), "日本法").when(F.lit(reason == "english_law"), F.concat(raw, F.lit(" law"))).otherwise(raw) if field == "governing_law" else raw
         made.append(F.when(raw.isNotNull(), F.struct(F.lit(field).alias("field"), value.alias("value"), F.lit(confidence).alias("confidence"), F.lit(reason).alias("reason"))))
     found = tail_share(blocks).withColumn("c", F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())))
     bonus = F.when((F.col("rank") >= 0.7 * F.col("n")) & F.col("c.field").isin("governing_law", "jurisdiction"), 0.12).otherwise(0.0) - F.when(F.col("c.reason") == "anchor", 0.10).otherwise(0.0)

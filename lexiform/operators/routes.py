@@ -97,10 +97,15 @@ def date_role(field: str, sentence: Column, value: Column) -> Column:
     return F.round(sum((F.when(F.coalesce(h, F.lit(False)), p).otherwise(0.0) for h, p in marks), F.lit(0.0)), 6)
 
 
-def tail(blocks: DataFrame) -> DataFrame:
-    """Blocks of a document's last part: three tenths, ten at least, and its last two pages."""
+def with_tail(blocks: DataFrame) -> DataFrame:
+    """Adds ``in_tail``: whether a block is of a document's last part: three tenths, ten at least, and its last two pages."""
     rows = tail_share(blocks).withColumn("last_page", F.max("page").over(Window.partitionBy("doc_id")))
-    return rows.filter((F.col("rank") > F.least(F.floor(F.col("n") * 0.7), F.greatest(F.lit(0), F.col("n") - 10))) | (F.col("page") >= F.col("last_page") - 1))
+    return rows.withColumn("in_tail", (F.col("rank") > F.least(F.floor(F.col("n") * 0.7), F.greatest(F.lit(0), F.col("n") - 10))) | (F.col("page") >= F.col("last_page") - 1))
+
+
+def tail(blocks: DataFrame) -> DataFrame:
+    """Blocks of a document's last part."""
+    return with_tail(blocks).filter("in_tail").drop("in_tail")
 
 
 def tail_candidates(blocks: DataFrame, routes: DataFrame) -> DataFrame:

@@ -169,6 +169,8 @@ _ROUGH_ITEM = [
     ("16", "'をもって送付先とする。'", "text", "true", "CAST(q AS INT) % 13 = 5"),
 ]
 _ROUGH_TAIL = [
+    ("-14", "concat('第', n + 3, '条(契約期間)')", "text", "true", "true"),
+    ("-13", "CASE prio WHEN '1-URGENT' THEN concat('本契約の有効期間は、', y, '年', m, '月', d, '日から', y + 1, '年', m, '月', 1 + d % 28, '日までとする。') WHEN '2-HIGH' THEN concat('本契約は、契約締結日から', 1 + nation % 4, '年間有効とする。') WHEN '3-MEDIUM' THEN '本契約は、令和○○年○○月○○日から効力を生じ、令和○○年○○月○○日までとする。' WHEN '4-NOT SPECIFIED' THEN concat('本契約は、令和', y - 1990, '年', m, '月', d, '日に発効する。') ELSE '契約期間の満了後は、同一条件で自動更新する。' END", "text", "true", "true"),
     ("-9", "concat('第', n + 1, '条(準拠法)')", "text", "true", "status <> 'P'"),
     ("-8", "CASE WHEN status = 'F' THEN '本契約の成立、効力、履行及び解釈については、' ELSE '本契約は、' END", "text", "true", "status <> 'P'"),
     ("-7", "CASE WHEN nation % 4 = 0 THEN '日本国法に準拠するものとする。' ELSE '日本法による。' END", "other", "true", "status <> 'P'"),
@@ -230,3 +232,31 @@ def rough_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = f"concat(array({', '.join(block(o, '1', t, b, s, w) for o, t, b, s, w in _ROUGH_HEAD)}), flatten(transform(items, r -> array({', '.join(item)}))), array({', '.join(block(f'100000 + {o}', '89' if int(o) < 0 else '90', t, b, s, w) for o, t, b, s, w in _ROUGH_TAIL)}))"
     rows = made.select(F.col("k").alias("doc_id"), F.inline(F.expr(f"filter({whole}, b -> b IS NOT NULL)")))
     return rows.withColumn("block_id", F.format_string("p%d_b%05d", "page", "ord")).withColumn("compact", tx.compact(F.col("norm"))).withColumn("bbox", F.struct(*[F.expr(f"CAST({e} AS DOUBLE)").alias(c) for c, e in ROUGH_BOX.items()]))
+
+
+#: What is recognised on the pages of rough contracts: portable SQL of rows (id, source_id, norm, x0, y0, conf, condition) over a
+#: rough block: second readings of weak blocks, the same text again in its place or across the page, and lines said again below.
+_READ_WEAK = "NOT searchable OR length(norm) < 8"
+_READ = [
+    ("'a'", "block_id", "CASE WHEN length(norm) % 3 = 2 THEN '[A1]' ELSE concat(norm, 'と認識した本文である。') END", "x0", "y0", "CASE WHEN length(norm) % 3 = 1 THEN 0.5 ELSE 0.9 END", f"({_READ_WEAK}) AND ord % 5 <> 2"),
+    ("'b'", "CAST(NULL AS {text})", "norm", "x0 + 1", "y0", "0.93", f"NOT ({_READ_WEAK}) AND length(norm) % 7 = 3"),
+    ("'c'", "CAST(NULL AS {text})", "concat(norm, '、')", "x0 + 900", "y0 + 1", "0.62", f"NOT ({_READ_WEAK}) AND length(norm) % 7 = 4"),
+    ("'d'", "block_id", "concat(norm, '別の読み')", "x0", "y0 + 2", "0.8", f"NOT ({_READ_WEAK}) AND length(norm) % 7 = 5"),
+    *[(f"'e{k}'", "CAST(NULL AS {text})", "'その契約の履行をするものとする。'", "40", f"y0 + 8 + 18 * {k}", "0.88", "page < 80 AND length(norm) % 9 = 5") for k in range(5)],
+]
+#: For comparison, after ROUGH.
+SCANS = (
+    ", rb AS MATERIALIZED (SELECT doc_id, ord::INT AS ord, page::INT AS page, norm, block_type, searchable, printf('p%d_b%05d', page, ord) AS block_id, "
+    + ", ".join(f"({e})::DOUBLE AS {c}" for c, e in ROUGH_BOX.items())
+    + " FROM rough), oc AS ("
+    + " UNION ALL ".join(f"SELECT doc_id, page, concat(block_id, '_', {i}) AS id, {s.replace('{text}', 'VARCHAR')} AS source_id, {t} AS norm, ({x})::DOUBLE AS x0, ({y})::DOUBLE AS y0, ({x})::DOUBLE + x1 - x0 AS x1, ({y})::DOUBLE + 16 AS y1, ({c})::DOUBLE AS conf FROM rb WHERE {w}" for i, s, t, x, y, c, w in _READ)
+    + ")"
+)
+
+
+def scans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Native blocks and recognised lines of rough contracts, as :func:`merge.candidates` takes them."""
+    native = rough_blocks(spark, sf_dir).withColumn("garbled", F.lit(0.0))
+    flat = native.select("doc_id", "ord", "page", "block_id", "norm", "searchable", "bbox.*")
+    rows = [F.expr(f"if({w}, named_struct('block_id', concat(block_id, '_', {i}), 'source_id', {s.replace('{text}', 'STRING')}, 'norm', {t}, 'bbox', named_struct('x0', CAST({x} AS DOUBLE), 'y0', CAST({y} AS DOUBLE), 'x1', CAST({x} AS DOUBLE) + x1 - x0, 'y1', CAST({y} AS DOUBLE) + 16), 'conf', CAST({c} AS DOUBLE), 'block_type', 'text'), NULL)") for i, s, t, x, y, c, w in _READ]
+    return native, flat.select("doc_id", "page", F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull())))

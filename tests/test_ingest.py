@@ -32,12 +32,13 @@ def test_ingest(spark, tmp_path):
     lines = [(1, 1, 1, "業務委託契約書"), (1, 2, 1, "第１条（目的）"), (1, 3, 1, "乙は業務を行う。"), (1, 4, 1, "を含むものとする。"), (1, 5, 2, "第２条（準拠法）"), (1, 6, 2, "本契約の準拠法は日本法とする。"), (2, 1, 1, "覚書")]
     spark.createDataFrame([(*r, 0.9, "native") for r in lines], cli.BLOCKS).coalesce(1).write.json(f"{tmp_path}/in.jsonl")
     s = cli.run(spark, f"{tmp_path}/in.jsonl", f"{tmp_path}/out").first()
-    assert (s.total, s.success, s.done) == (2, 2, True)
+    assert (s.total, s.success, s.skipped, s.done) == (2, 1, 1, True)  # two characters are no clause
     docs = {json.loads(r.value)["doc_id"]: json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out/documents").collect()}
     assert docs[1]["fields"]["governing_law"]["value"] == "日本法"
-    assert [c.get("clause_no") for c in docs[1]["clauses"]] == [None, "第1条", "第2条"]
-    assert {w["reason_code"] for w in docs[2]["warnings"]} >= {"MISSING_GOVERNING_LAW"}
-    assert spark.read.json(f"{tmp_path}/out/chunks").count() == 4
+    assert [(c.get("clause_no"), c.get("clause_title")) for c in docs[1]["clauses"]] == [(None, "前文"), ("第1条", None), ("第2条", "準拠法")]
+    assert list(docs) == [1] and {w["reason_code"] for w in docs[1]["warnings"]} >= {"MISSING_JURISDICTION"}
+    assert spark.read.json(f"{tmp_path}/out/chunks").count() == 3
+    assert {r.reason_code for r in spark.read.json(f"{tmp_path}/out/review").collect()} >= {"MISSING_JURISDICTION", "MISSING_EFFECTIVE_DATE"}
     assert cli.run(spark, f"{tmp_path}/in.jsonl", f"{tmp_path}/one", doc_id=2).first().total == 1
 
 
@@ -62,3 +63,14 @@ def test_list_matches_and_noise(spark):
     assert [r[0] for r in d.select(evaluate.list_match(F.col("e"), F.col("g"))).collect()] == ["exact", "partial", "wrong", "missing", "unscored"]
     n = spark.createDataFrame([(x,) for x in ("", "123", "*", "---", "本文", "第1条")], "norm string")
     assert [r[0] for r in n.select(pr.is_noise(F.col("norm"))).collect()] == [True, True, True, True, False, False]
+
+
+def test_ingest_by_engine_and_by_limits(spark, tmp_path):
+    rows = [(1, 1, 1, "第1条 本契約の準拠法は日本法とする。", 0.5, "ocr", "current"), (1, 2, 1, "第2条 紛争は、大阪地方裁判所を管轄裁判所とする。", 0.9, "native", "ppstructure"), (2, 1, 1, "3", 0.9, "native", "current")]
+    spark.createDataFrame(rows, f"{cli.BLOCKS}, layout_engine string").write.parquet(f"{tmp_path}/in")
+    s = cli.run(spark, f"{tmp_path}/in", f"{tmp_path}/a").first()
+    assert (s.total, s.success, s.skipped, s.failed) == (2, 1, 1, 0)
+    codes = lambda name: {r.reason_code for r in spark.read.json(f"{tmp_path}/{name}/review").collect()}
+    assert codes("a") >= {"LOW_CONFIDENCE", "MISSING_JURISDICTION"}
+    cli.run(spark, f"{tmp_path}/in", f"{tmp_path}/b", settings=Settings(low_confidence=0.4), layout_engine="compare")
+    assert not codes("b") & {"LOW_CONFIDENCE", "MISSING_JURISDICTION", "MISSING_GOVERNING_LAW"}

@@ -62,6 +62,8 @@ def read_png(data: bytes) -> np.ndarray:
         if struct.unpack_from(">I", data, at + 8 + size)[0] != zlib.crc32(content, zlib.crc32(kind)):
             raise ValueError(f"checksum of chunk {kind!r}")
         if kind == b"IHDR":
+            if size != 13:
+                raise ValueError("header of another size")
             head = struct.unpack(">IIBBBBB", content)
         elif kind == b"IDAT":
             body.append(content)
@@ -72,11 +74,14 @@ def read_png(data: bytes) -> np.ndarray:
     width, height, *form = head
     if form != [8, 0, 0, 0, 0]:
         raise ValueError("not 8-bit grey without interlacing")
-    try:
-        raw = zlib.decompress(b"".join(body))
+    if not width or not height:
+        raise ValueError("an image without samples")
+    stream = zlib.decompressobj()
+    try:  # never more than the header announces
+        raw = stream.decompress(b"".join(body), height * (width + 1) + 1)
     except zlib.error as e:
         raise ValueError(f"image data: {e}") from e
-    if len(raw) != height * (width + 1):
+    if len(raw) != height * (width + 1) or not stream.eof:
         raise ValueError("image data of another size")
     rows = np.frombuffer(raw, np.uint8).reshape(height, width + 1)
     return unfilter(rows[:, 0], rows[:, 1:])

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -148,3 +149,29 @@ def test_mix_order_equals_brute_force(spark, monkeypatch, budget):
                     want[r.doc_id, epoch] = start / quota[s]
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def png(*chunks):
+    body = b"".join(len(c).to_bytes(4, "big") + k + c + zlib.crc32(c, zlib.crc32(k)).to_bytes(4, "big") for k, c in chunks)
+    return b"\x89PNG\r\n\x1a\n" + body
+
+
+def head(width, height):
+    return width.to_bytes(4, "big") + height.to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+
+
+def test_unsound_images_give_a_reason_and_nulls(spark):
+    data = zlib.compress(b"\0\1\2" * 2)
+    cases = {
+        "header of another size": png((b"IHDR", b"\0\0\0\1\0"), (b"IDAT", data), (b"IEND", b"")),
+        "an image without samples": png((b"IHDR", head(0, 0)), (b"IDAT", zlib.compress(b"")), (b"IEND", b"")),
+        "image data of another size": png((b"IHDR", head(2, 2)), (b"IDAT", zlib.compress(b"\0" * 10_000_000)), (b"IEND", b"")),
+        "no header or no end": png((b"IHDR", head(2, 2)), (b"IDAT", data)),
+        "unknown row filter": png((b"IHDR", head(2, 2)), (b"IDAT", zlib.compress(b"\x09\1\2" * 2)), (b"IEND", b"")),
+        "a chunk is cut short": png((b"IHDR", head(2, 2)), (b"IDAT", data))[:-3],
+    }
+    rows = [(i, 4, b) for i, b in enumerate(cases.values())] + [(90, 4, png((b"IHDR", head(0, 2)), (b"IDAT", zlib.compress(b"\0\0")), (b"IEND", b""))), (91, 4, None), (92, 4, png((b"IHDR", head(2, 2)), (b"IDAT", data), (b"IEND", b"")))]
+    got = {r.doc_id: r for r in png_media.read_media(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    for i, why in enumerate(cases):
+        assert why in got[i].error and got[i].payload_sha256 is None, why
+    assert got[90].error and got[91].error and got[92].error is None and got[92].payload_bytes == 4

@@ -1,6 +1,7 @@
 """Costs that show in a plan: what is made once must not be put into every condition on it."""
 
 from lexiform.operators import segment
+from lexiform.plans import catalogue
 from lexiform.sources import bridges as br
 
 
@@ -12,3 +13,8 @@ def test_texts_are_normalised_once_whatever_is_asked_of_them(spark, sf_dir):
     plan = optimized(segment.segmented(br.contract_blocks(spark, sf_dir)))
     assert plan.count("x1F") <= 2  # twenty conditions of a filter each had the pattern
     assert plan.count("上記契約の成立を証するため") == 1  # and the section its own
+
+
+def test_merges_of_clauses_are_folded_once_each(spark, sf_dir):
+    plan = optimized(catalogue.queries()["clause_post_merge"](spark, sf_dir))
+    assert plan.count("aggregate(") == 4  # 274 before: every fold named its items twice

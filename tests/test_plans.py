@@ -18,3 +18,9 @@ def test_texts_are_normalised_once_whatever_is_asked_of_them(spark, sf_dir):
 def test_merges_of_clauses_are_folded_once_each(spark, sf_dir):
     plan = optimized(catalogue.queries()["clause_post_merge"](spark, sf_dir))
     assert plan.count("aggregate(") == 4  # 274 before: every fold named its items twice
+
+
+def test_doubts_come_from_one_pass_of_the_state(spark, sf_dir):
+    plan = optimized(catalogue.queries()["boundary_doubts"](spark, sf_dir))
+    assert plan.count("Relation") == 6  # each table of the contracts was read twice
+    assert plan.count("信用保証協会|中小") == 1

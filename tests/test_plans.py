@@ -1,6 +1,13 @@
 """Costs that show in a plan: what is made once must not be put into every condition on it."""
 
-from lexiform.operators import segment
+import re
+
+from pyspark.sql import functions as F
+
+from lexiform.functions import predicates as pr
+from lexiform.functions import roles
+from lexiform.functions import vocabulary as v
+from lexiform.operators import fields, segment
 from lexiform.plans import catalogue
 from lexiform.sources import bridges as br
 
@@ -24,3 +31,45 @@ def test_doubts_come_from_one_pass_of_the_state(spark, sf_dir):
     plan = optimized(catalogue.queries()["boundary_doubts"](spark, sf_dir))
     assert plan.count("Relation") == 6  # each table of the contracts was read twice
     assert plan.count("信用保証協会|中小") == 1
+
+
+def test_blocks_of_contracts_bring_their_places(spark, sf_dir):
+    blocks = br.contract_blocks(spark, sf_dir)
+    told = blocks.select("doc_id", "ord", "rank", "n")
+    counted = fields.tail_share(blocks.drop("rank", "n")).select("doc_id", "ord", "rank", "n")
+    assert told.exceptAll(counted).isEmpty() and counted.exceptAll(told).isEmpty()
+    assert "Window" not in optimized(fields.candidates(blocks))  # all blocks were sorted for the few that have a field
+
+
+def test_rules_are_matched_once_and_only_where_a_word_of_theirs_stands(spark, sf_dir):
+    blocks = br.contract_blocks(spark, sf_dir)
+    plan = optimized(fields.candidates(blocks))
+    assert plan.count("(契約締結日)から") == 1 and plan.count("に発効,") <= 3  # every look at a group matched its pattern again
+    assert "agreed_court" not in optimized(fields.candidates(blocks, "party_a"))
+    texts = [("2024年1月2日から2025年1月1日まで有効",), ("令和5年3月4日に発効し、令和元年5月6日に終了する",), ("令和5年13月1日から",), ("契約締結日から",), ("governed by the laws of Japan",), ("GOVERNED BY the laws of the State",), ("準拠法は日本法とする",), ("、東京地方裁判所を管轄裁判所",), ("株式会社A(以下「甲」という)と合同会社B(以下「乙」",)]
+    for (text,) in texts:
+        assert any(re.search(p.replace(r"\p{IsHan}", "一-龥"), text) and fields.WORDS[r] in text for _, p, _, r in fields.RULES), text
+    rows = spark.createDataFrame([(1, i, t, t, f"b{i}") for i, (t,) in enumerate(texts)], "doc_id long, ord int, norm string, compact string, block_id string")
+    got = {(r["ord"], r["field"]): r["value"] for r in fields.candidates(rows).collect()}
+    assert got[0, "effective_date"] == "2024-01-02" and got[0, "expiration_date"] == "2025-01-01"
+    assert got[1, "effective_date"] == "2023-03-04" and got[1, "expiration_date"] == "2019-05-06"
+    assert got[2, "effective_date"] == "令和5年13月1日" and got[3, "effective_date"] == "契約締結日"
+    assert got[4, "governing_law"] == "日本法" and got[5, "governing_law"] == "State law" and got[7, "jurisdiction"] == "東京地方裁判所"
+
+
+def test_words_before_patterns_change_no_verdict(spark):
+    texts = ["別紙1", "本契約 別添", "付属資料", "仕様書", "約款本文", "業務委託契約約款", "記入要領", "記載例", "様式第2号", "通知書を出す", "必要に応じて追加", "任意記載", "第○条 受託者", "本契約締結の証として", "この契約書は二通作成し", "電磁的記録", "電子署名", "甲 : 記名押印", "乙:住所", "署名欄", "住所", "Page 3 / 9", "12頁", "XIV", "第1条", "第1条(参照)", "[A1]", "0000年00月00日", "( 住所 )", "コメント", "解説編", "適宜", "乙は、納入する。", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    t, none = F.col("t"), F.lit("")
+    signed = t.rlike(v.SIGNATURE_SIGNAL) & roles.has(t, ["記名押印", "署名", "押印欄", "住所", "氏名", "代表者"])
+    plain = roles.first_of([
+        ("main_contract", t == ""), ("special_provisions", t.contains("特記事項")), ("appendix", t.rlike(v.APPENDIX_SIGNAL) | t.rlike(v.RESTART_SIGNAL)), ("instruction", t.rlike(v.INSTRUCTION)),
+        ("form", t.rlike(f"{v.FORM_SIGNAL}|{v.TAIL_FORM_SIGNAL}|{v.BLANK_ARTICLE}")), ("signature", t.rlike(v.EXECUTION) | signed),
+    ], None)
+    head = t.rlike(pr.ARTICLE)
+    page = (t != "") & ~head & (t.rlike(r"(?i)^\s*(?:page\s*)?[0-9]{1,4}\s*(?:/\s*[0-9]{1,4})?\s*(?:ページ|頁)?\s*$") | t.rlike(r"^\s*[IVXLCDM]{1,8}\s*$"))
+    strong = t.rlike(r"^\s*\[[^\]]{1,20}\]\s*$") | t.rlike(r"^\s*0{2,4}年\s*0{1,2}月\s*0{1,2}日\s*$") | t.rlike(r"^\s*\(\s*(住所|代表者名)\s*\)\s*$") | pr.any_of(t, pr.COMMENTARY)
+    note = (t != "") & ~head & (strong | (F.length(t) <= 20) & pr.any_of(t, ["適宜", "参照"]))
+    same = segment.section_said(t, none).eqNullSafe(plain) & (pr.is_page_number(t) == page) & (pr.is_annotation(t) == note) & (pr.is_article_heading(t) == head)
+    assert rows.filter(~same).collect() == []
+    assert pr.matches(t, "x", ["x"])._jc.toString().count("contains") == 1

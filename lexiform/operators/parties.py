@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiform.functions.predicates import any_of, matches
 from lexiform.functions.roles import has
 from lexiform.functions.vocabulary import alternatives
+from lexiform.operators.segment import once
 
 #: Kinds of entities, what names them, and words that no name has.
 TYPES_ALONE = ["株式会社", "合同会社", "有限会社", "公立大学法人", "国立大学法人", "独立行政法人"]
@@ -28,6 +30,9 @@ EDGES = " 、。,:;()\\[\\]【】"
 #: Pattern with the name, role before or after it, score.
 DECLARED = [("([^\\n]{2,140}?)\\s*[(]?以下\\s*[「『]?(甲|乙)", "name_first", 1.00), ("(甲|乙)\\s*:\\s*([^\\n]{2,140})", "role_first", 0.90), ("([^\\n]{2,140}?)\\s*を\\s*(甲|乙)\\s*とし", "name_first", 0.80)]
 
+#: A word that every match of the pattern has.
+DECLARED_BY = ["以下", ":", "とし"]
+
 
 def _strip(c: Column, signs: str = EDGES) -> Column:
     return F.regexp_replace(c, f"^[{signs}]+|[{signs}]+$", "")
@@ -44,7 +49,7 @@ def party_name(c: Column) -> Column:
         c = F.regexp_replace(c, pattern, to)
     c = _strip(_strip(c, " :、,。;"), " ")
     c = F.regexp_replace(_strip(F.regexp_replace(c, "(御中|様)$", ""), " "), "[と、のはにを]+$", "")
-    return balanced(c)
+    return once(c, balanced)
 
 
 def is_placeholder(name: Column) -> Column:
@@ -55,20 +60,30 @@ def is_party(name: Column) -> Column:
     return (F.length(name) >= 2) & ~name.isin("甲", "乙", "当事者", *TYPES_ALONE) & ~name.rlike("(と|と、|の|は|に|を|で)$") & ~name.rlike("^[0-9]+$") & ~has(name, NOT_A_PARTY)
 
 
+def _all(c: Column, pattern: str, group: int, words: list[str] | None = None) -> Column:
+    """A group of all matches; with ``words``, of which every match has one, texts without them are not matched."""
+    found = F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
+    return F.when(any_of(c, words), found).otherwise(F.array().cast("array<string>")) if words else found
+
+
 def entities(c: Column) -> Column:
     """Names of companies and corporations in a text, in the order of their patterns."""
-    return F.array_distinct(F.concat(*[F.regexp_extract_all(c, F.lit(p), F.lit(1)) for p in ENTITY_PATTERNS[:3]]))
+    return F.array_distinct(F.concat(*[_all(c, p, 1, [w]) for p, w in zip(ENTITY_PATTERNS[:3], ("会社", "法人", "法人"), strict=True)]))
 
 
 def last_entity(c: Column) -> Column:
     found = F.concat(*[F.regexp_extract_all(c, F.lit(p), F.lit(1)) for p in ENTITY_PATTERNS])
-    return F.when(F.size(found) > 0, _strip(F.element_at(found, -1)))
+    return once(found, lambda every: F.when(F.size(every) > 0, _strip(F.element_at(every, -1))))
 
 
 def finder_name(c: Column) -> Column:
     """A name in a line of a preamble or signature: the last entity, or what stands before words that end a name."""
     c = F.regexp_replace(F.regexp_replace(c, "以下\\s*[「『]?[甲乙].*$", ""), "^(委託者|受託者|甲|乙)\\s*:?", "")
     c = F.regexp_replace(F.regexp_replace(c, "^(と|及び|または|又は)\\s*[、,]?\\s*", ""), "^.*?氏\\s*名", "")
+    return once(c, _named)
+
+
+def _named(c: Column) -> Column:
     cut = F.regexp_replace(c, f"(との間|の間に|について|により|ものとする|こととする|{alternatives(CUT_AT)}).*$", "")
     named = F.coalesce(last_entity(c), cut)
     bare = _strip(F.regexp_replace(F.regexp_replace(named, "^\\s*という。?[)]?\\s*(と、?)?", ""), "(取扱|[(]?平成|第).*$", ""))
@@ -142,9 +157,9 @@ def windows(blocks: DataFrame) -> DataFrame:
     return rows.withColumns({"preamble": preamble, "signing": signing}).drop("first_", "hint_", "firsts_", "hints_")
 
 
-def _matches(text: Column, pattern: str, order: str, name_of=lambda c: c) -> Column:
+def _matches(text: Column, pattern: str, order: str, name_of=lambda c: c, words: list[str] | None = None) -> Column:
     """(name, role) of each match."""
-    a, b = (F.regexp_extract_all(text, F.lit(pattern), F.lit(k)) for k in (1, 2))
+    a, b = (_all(text, pattern, k, words) for k in (1, 2))
     names, roles = (a, b) if order == "name_first" else (b, a)
     return F.transform(F.arrays_zip(names.alias("name"), roles.alias("role")), lambda x: F.struct(name_of(x["name"]).alias("name"), x["role"].alias("role")))
 
@@ -165,11 +180,12 @@ def declared(blocks: DataFrame) -> DataFrame:
     zone = (F.col("page") == F.col("last_page")) | has(F.col("norm"), ["記名押印", "署名", "住所", "代表者"])
     rows = rows.withColumns({"after_": after, "bonus_": F.when(zone, 0.25).when(F.col("rank") <= 30, 0.18).otherwise(0.0)})
     # nothing is declared without one of these
-    rows = rows.filter(F.concat_ws(" ", "norm", "after_").rlike("以下|[甲乙]\\s*:|[甲乙]\\s*とし"))
+    rows = rows.filter(matches(F.concat_ws(" ", "norm", "after_"), "以下|[甲乙]\\s*:|[甲乙]\\s*とし", ["以下", ":", "とし"]))
     both = F.array(F.struct(F.col("norm").alias("text"), F.lit(0.0).alias("less")), F.struct(F.concat_ws(" ", "norm", "after_").alias("text"), F.lit(0.04).alias("less")))
     texts = rows.select("doc_id", "rank", "block_id", "bonus_", F.explode(F.when(F.col("after_").isNotNull(), both).otherwise(F.slice(both, 1, 1))).alias("t")).select("doc_id", "rank", "block_id", "bonus_", "t.*")
-    found = F.concat(*[_with(_matches(F.col("text"), pattern, order), F.lit(score).alias("base"), F.lit(i).alias("turn")) for i, (pattern, order, score) in enumerate(DECLARED)])
-    hits = texts.select("doc_id", "rank", "block_id", "bonus_", "less", F.explode(found).alias("h"))
+    found = F.concat(*[_with(_matches(F.col("text"), pattern, order, words=[word]), F.lit(score).alias("base"), F.lit(i).alias("turn")) for i, ((pattern, order, score), word) in enumerate(zip(DECLARED, DECLARED_BY, strict=True))])
+    # an outer generator has no filter before it that makes all matches again; texts without one have no name and go below
+    hits = texts.select("doc_id", "rank", "block_id", "bonus_", "less", F.explode_outer(found).alias("h"))
     # a generated column: the optimiser would write the whole expression out wherever the name is looked at
     hits = hits.select("*", "h.role", "h.base", "h.turn", F.explode(F.array(party_name(F.col("h.name")))).alias("name"))
     hits = hits.withColumn("score", F.col("base") + F.col("bonus_") - F.col("less") - F.when(is_placeholder(F.col("name")), 0.06).otherwise(0.0))
@@ -194,11 +210,12 @@ def finders(blocks: DataFrame) -> DataFrame:
         return F.when(F.col(flag), F.concat(*[F.transform(_with(a, F.lit(c).alias("confidence")), lambda x: x.withField("role", role(x["role"]))) for a, c in parts])).otherwise(F.array())
 
     alone = F.transform(entities(norm), lambda x: F.struct(finder_name(x).alias("name"), F.lit(None).cast("string").alias("role")))
-    label = _matches(norm, "(甲|乙|委託者|受託者)\\s*:\\s*([^\\n]{2,120})", "role_first", finder_name)
-    said = _matches(norm, "([^。\\n]{2,120}?)\\s*[(]?\\s*以下\\s*[「『]?(甲|乙|委託者|受託者)", "name_first", finder_name)
+    label = _matches(norm, "(甲|乙|委託者|受託者)\\s*:\\s*([^\\n]{2,120})", "role_first", finder_name, [":"])
+    said = _matches(norm, "([^。\\n]{2,120}?)\\s*[(]?\\s*以下\\s*[「『]?(甲|乙|委託者|受託者)", "name_first", finder_name, ["以下"])
     signed = _matches(norm, "(委託者|受託者|甲|乙)\\s*(?:[(]?(?:甲|乙)?[)])?\\s*:?\\s*([^\\n]{0,120})", "role_first", finder_name)
     every = F.concat(rows_of("preamble", [(said, 0.90), (label, 0.85), (alone, 0.72)]), rows_of("signing", [(signed, 0.82), (alone, 0.70)]))
-    hits = windows(blocks).select("doc_id", F.explode(every).alias("h")).select("doc_id", "h.*").filter(is_candidate(F.col("name")))
+    # as above: no filter makes all names again
+    hits = windows(blocks).filter("preamble or signing").select("doc_id", F.explode_outer(every).alias("h")).select("doc_id", "h.*").filter(is_candidate(F.col("name")))
     best = Window.partitionBy("doc_id", "name").orderBy(F.desc("confidence"), F.col("role").isNull(), "role")
     return hits.withColumn("turn_", F.row_number().over(best)).filter("turn_ = 1").drop("turn_")
 

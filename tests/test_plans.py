@@ -73,3 +73,9 @@ def test_words_before_patterns_change_no_verdict(spark):
     same = segment.section_said(t, none).eqNullSafe(plain) & (pr.is_page_number(t) == page) & (pr.is_annotation(t) == note) & (pr.is_article_heading(t) == head)
     assert rows.filter(~same).collect() == []
     assert pr.matches(t, "x", ["x"])._jc.toString().count("contains") == 1
+
+
+def test_names_of_parties_are_made_once(spark, sf_dir):
+    plan = optimized(catalogue.queries()["counterparties"](spark, sf_dir))
+    assert plan.count("(御中|様)$") == 1  # where brackets are counted each count made the name again
+    assert plan.count("を\\s*(甲|乙)\\s*とし") + plan.count("を\\\\s*(甲|乙)\\\\s*とし") <= 2  # a filter before the generator matched all patterns again

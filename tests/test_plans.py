@@ -79,3 +79,9 @@ def test_names_of_parties_are_made_once(spark, sf_dir):
     plan = optimized(catalogue.queries()["counterparties"](spark, sf_dir))
     assert plan.count("(御中|様)$") == 1  # where brackets are counted each count made the name again
     assert plan.count("を\\s*(甲|乙)\\s*とし") + plan.count("を\\\\s*(甲|乙)\\\\s*とし") <= 2  # a filter before the generator matched all patterns again
+
+
+def test_contracts_unfold_in_tasks_of_bounded_size(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(br, "ITEMS_A_TASK", 500)
+    items = br.table(spark, sf_dir, "lineitem").count()
+    assert items > 4000 and br.contract_blocks(spark, sf_dir).rdd.getNumPartitions() == -(-items // 500)  # one task unfolded them all

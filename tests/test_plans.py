@@ -84,4 +84,13 @@ def test_names_of_parties_are_made_once(spark, sf_dir):
 def test_contracts_unfold_in_tasks_of_bounded_size(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(br, "ITEMS_A_TASK", 500)
     items = br.table(spark, sf_dir, "lineitem").count()
-    assert items > 4000 and br.contract_blocks(spark, sf_dir).rdd.getNumPartitions() == -(-items // 500)  # one task unfolded them all
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # as where line items and orders are many
+    try:
+        assert items > 4000 and br.contract_blocks(spark, sf_dir).rdd.getNumPartitions() == -(-items // 500)  # one task unfolded them all
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scopes_of_a_field_read_clauses_once(spark, sf_dir):
+    plan = optimized(catalogue.queries()["field_scopes"](spark, sf_dir))
+    assert plan.count("Relation") == 12 and plan.count("信用保証協会|中小") == 1  # the clause state was made twice

@@ -94,3 +94,30 @@ def test_contracts_unfold_in_tasks_of_bounded_size(spark, sf_dir, monkeypatch):
 def test_scopes_of_a_field_read_clauses_once(spark, sf_dir):
     plan = optimized(catalogue.queries()["field_scopes"](spark, sf_dir))
     assert plan.count("Relation") == 12 and plan.count("信用保証協会|中小") == 1  # the clause state was made twice
+
+
+def test_signs_that_are_guarded_change_no_verdict(spark):
+    texts = ["", "本契約", "甲は、乙に対し、業務の内容を遅滞なく報告するものとする。", "ひらがなばかりでじゅうろくもじこえる", "This Agreement shall be governed by the laws of Japan.", "THIS AGREEMENT SHALL BE GOVERNED", "one two three four five six.", "one two three four five", "カタカナA1#@", "準拠法は日本法", "日本法の", "氏名 準拠法", "[A1]", "東京地方裁判所を管轄とする", "Effective Date", "12/34 %", "𠮷野家は、これをもってあれとするものである", "dated as of 2020", "İ governed by"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    t, low = F.col("t"), F.lower("t")
+    n, hiragana, words = F.length("t"), F.regexp_count("t", F.lit("[぀-ゟ]")), F.regexp_count(low, F.lit("[a-z]+"))
+    particles = sum((F.when(t.contains(p), 1).otherwise(0) for p in v.SENTENCE_PARTICLES), F.lit(0))
+    said = (n >= 16) & roles.has(t, v.SENTENCE_MARKS) | (n >= 14) & (particles >= 2) & (hiragana >= 3) | (n >= 16) & (hiragana >= 5) | (words >= 4) & roles.has(low, v.ENGLISH_MARKS) | (words >= 6) & t.rlike("[.;]$") | (n >= 24) & (hiragana >= 3)
+    c = F.regexp_replace("t", r"\s+", "")
+    m = F.length(c)
+    barred = (m == 0) | (m > 36) | F.substring(c, 1, 1).isin(v.PARTICLES) | (m <= 18) & F.substring(c, -1, 1).isin(v.OPEN_ENDS) | pr.is_annotation(c) | pr.is_page_number(c) | roles.has(c, v.CRITICAL_EXCLUDED)
+    weighty = ~barred & (roles.has(c, v.CRITICAL_JAPANESE) | roles.has(low, v.CRITICAL_ENGLISH))
+    assert rows.filter(~(roles.sentence(t) == said) | ~(roles.critical(t) == weighty)).collect() == []
+    # a part that stands twice is worked out ahead for every row unless it stands in a branch
+    plan = rows.select(roles.sentence(t), roles.critical(t))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") > 0 and "AND RLIKE(lower(" not in plan
+
+
+def test_folds_of_a_page_are_made_once(spark, sf_dir):
+    plan = optimized(catalogue.queries()["local_residuals"](spark, sf_dir))
+    assert plan.count("aggregate(") == 2 and "Filter ((size(" not in plan  # 8 before: each name of the items was a fold
+
+
+def test_what_is_unfolded_is_made_once(spark, sf_dir):
+    for name in ("clause_state", "law_scopes"):
+        assert "Filter ((size(" not in optimized(catalogue.queries()[name](spark, sf_dir))  # a filter before the generator made it again
